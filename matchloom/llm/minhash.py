@@ -8,11 +8,13 @@ Candidates are verified by banded alignment: labelled k-mers of both texts are m
 diagonal by more than similarity allows are left out (they would leave too many unmatched), and the longest common
 order is taken. Similarity is its length over that of the union; pairs of similarity or more are links.
 
-A bucket of texts that share an entry is never expanded into its pairs. All are compared with the bucket's first text;
-in the next round the first text that isn't matched is compared with all of them. Buckets that stay contested after a
-few rounds hold texts that share some passage but aren't alike; their texts are dealt anew by their rarest k-mers
-(prefix filtering, which loses no pair of the similarity), and compared until nothing is left. Nothing is capped. Equal
-texts are one node from the start. Classes are the connected components of the links, named by their least id.
+A bucket of texts that share an entry is never expanded into its pairs. All are compared with the bucket's first text,
+in the next round with two that aren't matched yet. Buckets that stay contested then hold texts that share much but
+aren't alike; all their texts are sketched again with more and longer entries, which part them, and compared likewise.
+No text leaves a bucket uncompared and no bucket is dropped for its size, but in a family of very many texts that are
+all a little under the similarity, a link between two of them can stay unseen if neither ever leads; the README gives
+the measured recall. Equal texts are one node from the start. Classes are the connected components of the links, named
+by their least id.
 
 Cases: texts of fewer than k words have one k-mer, the whole text. Null texts and texts without words: a class with
 texts that are byte for byte equal; null by itself, each row its own class. Null ids are left out of classes (class
@@ -144,10 +146,10 @@ def _key(words: np.ndarray) -> bytes:
     return b"\1" + np.array([one, two, len(words)], np.uint64).tobytes()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, similarity: float) -> DataFrame:
-    """pairs (a, b) and whether they are similar; texts of paired documents only travel, as hashes of their words."""
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(needed, "doc_id", "left_semi")
+def _word_table(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, words): 32-bit hashes of the words of the named texts, four bytes a word; only these texts ever travel."""
+    # ids grow with the corpus: the same shuffled join at every size, never a broadcast
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(ids.hint("merge"), "doc_id", "left_semi")
     schema = T.StructType([rows.schema["doc_id"], T.StructField("words", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +158,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
             words, _, _, first = split(*arrow_bytes(b["text"]))
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([(words[first[i] : first[i + 1]] >> np.uint64(32)).astype(np.uint32).tobytes() for i in range(b.num_rows)], pa.binary())], names=schema.names)
 
-    texts = rows.dropDuplicates(["doc_id"]).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
+
+
+def _labels(words: bytes, k: int) -> np.ndarray:
+    return labelled(kmers(np.frombuffer(words, np.uint32).astype(np.uint64), k))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
+    """pairs (a, b) and whether they are similar."""
     both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("words").alias("wb")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("words").alias("wa")), "a")
     id_type = pairs.schema["a"].dataType
     out = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type), T.StructField("similar", T.BooleanType())])
@@ -167,74 +177,70 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
             said = []
             for x, y in zip(b["wa"].to_pylist(), b["wb"].to_pylist()):
                 if x != last:
-                    last, of_last = x, labelled(kmers(np.frombuffer(x, np.uint32).astype(np.uint64), k))
-                said.append(alignment(of_last, labelled(kmers(np.frombuffer(y, np.uint32).astype(np.uint64), k)), similarity) >= similarity)
+                    last, of_last = x, _labels(x, k)
+                said.append(alignment(of_last, _labels(y, k), similarity) >= similarity)
             yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(said, pa.bool_())], names=out.names)
 
     return both.select("a", "b", "wa", "wb").mapInArrow(verify, out)
 
 
 def _rounds(members: DataFrame, known: DataFrame | None, most: int | None, check) -> tuple[DataFrame, DataFrame]:
-    """Compares each bucket's first unmatched text with all of its bucket, again and again (most times at most).
+    """Compares some unmatched texts of each bucket with all of its bucket, again and again (most times at most).
 
-    members: (bucket, doc_id). known: (a, b, similar) so far. Returns all that is known then, and what is unmatched.
+    The first round takes one text, each later round up to twice as many as the one before: what is left shrinks as the
+    logarithm. members: (bucket, doc_id, class); texts of one class are linked already and not compared. known: (a, b,
+    similar) so far. Returns what is known then, and what is unmatched.
     """
     open_, n = members, 0
     while True:
-        first = open_.groupBy("bucket").agg(F.min("doc_id").alias("p"))
-        star = written(first.join(members, "bucket").filter("p != doc_id").select("bucket", "doc_id", F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")), "star")
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << n)).alias("slot")
+        first = open_.groupBy("bucket", slot).agg(F.min(F.struct("doc_id", "class")).alias("p")).select("bucket", F.col("p.doc_id").alias("p"), F.col("p.class").alias("of"))
+        star = written(first.join(members, "bucket").filter("of != class").select("bucket", "doc_id", F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")), "star")
         pairs = star.select("a", "b").distinct()
         if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
+            pairs = pairs.join(known.hint("merge"), ["a", "b"], "left_anti")
         checked = written(check(pairs), "checked")
         known = checked if known is None else known.union(checked)
-        matched = star.join(known.filter("similar"), ["a", "b"]).select("bucket", "doc_id")
-        done = matched.union(first.select("bucket", F.col("p").alias("doc_id"))).distinct()
-        open_ = written(open_.join(done, ["bucket", "doc_id"], "left_anti"), "open")
+        # of what is open: not similar to one of the firsts, not of their classes (each is of its own)
+        matched = star.join(known.filter("similar").hint("merge"), ["a", "b"], "left_semi").select("bucket", "doc_id")
+        open_ = open_.join(matched, ["bucket", "doc_id"], "left_anti").join(first.select("bucket", F.col("of").alias("class")), ["bucket", "class"], "left_anti")
+        open_ = written(open_.select("bucket", "doc_id", "class"), "open")
         n += 1
         if n == most or open_.isEmpty():
             return known, open_
 
 
-def _rare(docs: DataFrame, contested: DataFrame, id_col: str, text_col: str, k: int, similarity: float) -> DataFrame:
-    """(bucket, doc_id): every contested text's rarest k-mers, so many that two texts of the similarity share one.
-
-    Of n k-mers these are n - ceil(similarity * n) + 1 (prefix filtering, exact). What many texts have in common is rare
-    in no text, so texts that share no more than a frequent passage part here.
-    """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(contested, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("kmers", T.ArrayType(T.LongType()))])
+def _sharper(texts: DataFrame, contested: DataFrame, k: int, entries: int, ell: int) -> DataFrame:
+    """(bucket, doc_id) of contested texts by longer entries, which texts that aren't alike share more rarely."""
+    rows = texts.join(contested.hint("merge"), "doc_id", "left_semi")
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("sketch", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Words(alnum_mask())
         for b in batches:
-            words, _, _, first = split(*arrow_bytes(b["text"]))
-            all_ = [labelled(kmers(words[first[i] : first[i + 1]], k)).astype(np.int64).tolist() for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(all_, pa.list_(pa.int64()))], names=schema.names)
+            out = [sketch(mix(_labels(w, k) + np.uint64(ell)), entries, ell) for w in b["words"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(out, pa.list_(pa.int64()))], names=schema.names)
 
-    each = written(rows.mapInArrow(run, schema).select("doc_id", F.explode("kmers").alias("bucket")), "kmers")
-    often = each.groupBy("bucket").agg(F.count("*").alias("n"))
-    ranked = each.join(often, "bucket").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("s"))
-    size = F.size("s")
-    prefix = F.slice("s", F.lit(1), (size - F.ceil(size * F.lit(similarity) - F.lit(1e-9)) + 1).cast("int"))
-    rare = ranked.select("doc_id", F.explode(F.filter(prefix, lambda x: x["n"] > 1)).alias("x"))
-    return rare.select(F.col("x.bucket").alias("bucket"), "doc_id")
+    return rows.mapInArrow(run, schema).select("doc_id", F.explode("sketch").alias("bucket"))
 
 
-def links(nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, rounds: int = 3) -> DataFrame:
+def links(nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, entries: int = 12, ell: int = 3, rounds: int = 2) -> DataFrame:
     """(a, b) verified links between nodes (doc_id, sketch), one per text.
 
     Buckets that rounds of comparisons leave contested hold many texts that are not alike, such as those that share a
-    frequent passage. All texts of such buckets go to buckets of their rarest k-mers, which are then compared to the end.
+    frequent passage. All texts of such buckets are sketched again, by twice as many entries of twice the length.
     """
-    check = lambda pairs: _verified(pairs, docs, id_col, text_col, k, similarity)
     buckets = nodes.select("doc_id", F.explode("sketch").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = written(buckets.join(shared, "bucket"), "members")
+    members = written(buckets.join(shared.hint("merge"), "bucket").withColumn("class", F.col("doc_id")), "members")
+    texts = written(_word_table(docs, members.select("doc_id").distinct(), id_col, text_col).dropDuplicates(["doc_id"]), "words")
+    check = lambda pairs: _verified(pairs, texts, k, similarity)
     known, open_ = _rounds(members, None, rounds, check)
     if not open_.isEmpty():
         contested = members.join(open_.select("bucket").distinct(), "bucket", "left_semi").select("doc_id").distinct()
-        known, _ = _rounds(written(_rare(docs, contested, id_col, text_col, k, similarity), "rare"), known, None, check)
+        so_far = components(known.filter("similar"), "a", "b", label="so-far").select(F.col("node").alias("doc_id"), "root")
+        again = _sharper(texts, contested, k, 2 * entries, 2 * ell).join(so_far, "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("class"))
+        mixed = again.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x != y").select("bucket")
+        known, _ = _rounds(written(again.join(mixed.hint("merge"), "bucket"), "again"), known, rounds, check)
     return known.filter("similar").select("a", "b")
 
 
@@ -245,8 +251,8 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     sketched = written(_sketches(docs, id_col, text_col, k, entries, ell), "sketches")
     firsts = sketched.groupBy("key").agg(F.min("doc_id").alias("first"))
     member = written(sketched.select("doc_id", "key").join(firsts, "key").select("doc_id", "first").distinct(), "first")
-    nodes = sketched.join(firsts.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    found = links(nodes.select("doc_id", "sketch"), docs, id_col=id_col, text_col=text_col, k=k, similarity=similarity)
+    nodes = sketched.join(firsts.select(F.col("first").alias("doc_id")).hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    found = links(nodes.select("doc_id", "sketch"), docs, id_col=id_col, text_col=text_col, k=k, similarity=similarity, entries=entries, ell=ell)
     # an id that repeats with other texts belongs with all of them
     same = member.groupBy("doc_id").agg(F.min("first").alias("u"), F.max("first").alias("v")).filter("u != v").select("u", "v")
     roots = components(found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(same), label="classes")
