@@ -2,5 +2,353 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..fixture import MATCH_SQL, matches
+from ..functions import scalars as S
+from ..functions.similarity import player_similarity, tournament_similarity
+from ..operators import backtest, linkage, rating, resolve, tables
+from ..operators.asof import order_key
+from ..operators.events import player_events
+from . import features as feat
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_M = f"m0 AS ({MATCH_SQL}), m AS (SELECT *, date_diff('day', DATE '1900-01-01', tourney_date) * 4294967296 + CAST(tourney_id AS BIGINT) * 4096 + 2048 - round_order AS kk FROM m0)"
+_E = _M + """, e AS (
+  SELECT seq, kk, tourney_date, tourney_id, tourney_level, surface, round, 1 AS side, player1_id AS player_id, player2_id AS opponent_id, CAST(RESULT AS INT) AS win,
+    p1_svpt AS svpt, "p1_1stIn" AS fin, p1_ace AS ace, p1_df AS df, p1_bpFaced AS faced, p1_bpSaved AS saved FROM m
+  UNION ALL
+  SELECT seq, kk, tourney_date, tourney_id, tourney_level, surface, round, 2, player2_id, player1_id, 1 - RESULT,
+    p2_svpt, "p2_1stIn", p2_ace, p2_df, p2_bpFaced, p2_bpSaved FROM m)"""
+_PRE = "ORDER BY kk RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def _pair(cols: dict[str, str], source: str) -> str:
+    """SELECT of p1, p2 and nan-safe difference by match."""
+    out = ["seq"]
+    for c, t in cols.items():
+        a, b = (f"max(CASE WHEN side = {p} THEN {c} END)" for p in (1, 2))
+        out += [f"CAST({a} AS {t}) AS {c}_p1", f"CAST({b} AS {t}) AS {c}_p2", f"CAST(CASE WHEN {a} IS NULL AND {b} IS NULL THEN NULL ELSE coalesce({a}, 0) - coalesce({b}, 0) END AS {t}) AS {c}_diff"]
+    return f"SELECT {', '.join(out)} FROM {source} GROUP BY seq"
+
+
+def _last_k(source: str, value: str, k: int, how: str, keep: str) -> str:
+    """CTEs r, post, pre: how(value) of the last k non-null values strictly before, as column v."""
+    return f"""r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY kk, seq) AS rn, ({value}) AS x, ({value}) IS NULL AS xn FROM {source}),
+post AS (SELECT *, CASE WHEN NOT xn THEN {how}(x) OVER (PARTITION BY player_id, xn ORDER BY rn ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) END AS p FROM r),
+pre AS (SELECT {keep}, arg_max(p, CASE WHEN p IS NOT NULL THEN rn END) OVER (PARTITION BY player_id {_PRE}) AS v FROM post)"""
+
+
+def _typed(df: DataFrame, kind: str) -> DataFrame:
+    return df.select("seq", *[F.col(c).cast(kind).alias(c) for c in df.columns if c != "seq"])
+
+
+def _rounded(df: DataFrame, columns: list[str], n: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, n) for c in columns})
+
+
+# ---- feature families
+
+
+@query(f"""WITH {_E}, c AS (SELECT *, count(*) OVER (PARTITION BY player_id {_PRE}) AS matches,
+  coalesce(sum(win) OVER (PARTITION BY player_id, opponent_id {_PRE}), 0) AS h2h,
+  coalesce(sum(win) OVER (PARTITION BY player_id, opponent_id, surface {_PRE}), 0) AS h2h_surface FROM e),
+{_last_k('c', 'win', 10, 'sum', 'seq, side, matches, h2h, h2h_surface')}, g AS (SELECT *, CASE WHEN matches >= 10 THEN v END AS wins_10 FROM pre)
+{_pair({c: 'BIGINT' for c in ('matches', 'h2h', 'h2h_surface', 'wins_10')}, 'g')}""")
+def features_core(spark, sf_dir):
+    """Matches played, head-to-head, wins in the last ten."""
+    return _typed(feat.core(matches(spark, sf_dir)), "long")
+
+
+@query(f"""WITH {_E}, c AS (SELECT seq, side, coalesce(sum(CASE WHEN round = 'F' THEN win ELSE 0 END) OVER (PARTITION BY player_id {_PRE}), 0) AS titles,
+  coalesce(sum(win) OVER (PARTITION BY player_id, round {_PRE}), 0) AS round_wins, count(*) OVER (PARTITION BY player_id, round {_PRE}) AS round_n,
+  coalesce(sum(win) OVER (PARTITION BY player_id, tourney_id {_PRE}), 0) AS tourn_wins, count(*) OVER (PARTITION BY player_id, tourney_id {_PRE}) AS tourn_n,
+  coalesce(sum(win) OVER (PARTITION BY player_id, tourney_level {_PRE}), 0) AS level_wins, count(*) OVER (PARTITION BY player_id, tourney_level {_PRE}) AS level_n FROM e)
+{_pair({c: 'BIGINT' for c in ('titles', 'round_wins', 'round_n', 'tourn_wins', 'tourn_n', 'level_wins', 'level_n')}, 'c')}""")
+def features_records(spark, sf_dir):
+    e = feat.counts(player_events(matches(spark, sf_dir)))
+    return _typed(feat.paired(e, ["titles", "round_wins", "round_n", "tourn_wins", "tourn_n", "level_wins", "level_n"]), "long")
+
+
+@query(f"WITH {_E}, {_last_k('e', 'CASE WHEN svpt > 0 THEN ace * 100.0 / svpt END', 10, 'avg', 'seq, side')}, g AS (SELECT seq, side, v AS p_ace_10 FROM pre), q AS ({_pair({'p_ace_10': 'DOUBLE'}, 'g')}) SELECT seq, round(p_ace_10_p1, 6) AS p_ace_10_p1, round(p_ace_10_p2, 6) AS p_ace_10_p2, round(p_ace_10_diff, 6) AS p_ace_10_diff FROM q")
+def features_ace_ratio(spark, sf_dir):
+    e = feat.ratios(player_events(matches(spark, sf_dir)), ("p_ace",), (10,))
+    return _rounded(feat.paired(e, ["p_ace_10"]), ["p_ace_10_p1", "p_ace_10_p2", "p_ace_10_diff"])
+
+
+@query(f"WITH {_E}, {_last_k('e', 'CASE WHEN faced > 0 THEN saved * 100.0 / faced END', 5, 'avg', 'seq, side')}, g AS (SELECT seq, side, v AS p_bpSaved_5 FROM pre), q AS ({_pair({'p_bpSaved_5': 'DOUBLE'}, 'g')}) SELECT seq, round(p_bpSaved_5_p1, 6) AS p_bpSaved_5_p1, round(p_bpSaved_5_p2, 6) AS p_bpSaved_5_p2, round(p_bpSaved_5_diff, 6) AS p_bpSaved_5_diff FROM q")
+def features_break_points(spark, sf_dir):
+    e = feat.ratios(player_events(matches(spark, sf_dir)), ("p_bpSaved",), (5,))
+    return _rounded(feat.paired(e, ["p_bpSaved_5"]), ["p_bpSaved_5_p1", "p_bpSaved_5_p2", "p_bpSaved_5_diff"])
+
+
+_OFF = "CASE round WHEN 'R128' THEN 1 WHEN 'R64' THEN 2 WHEN 'R32' THEN 3 WHEN 'R16' THEN 4 WHEN 'QF' THEN 5 WHEN 'SF' THEN 6 WHEN 'F' THEN 7 ELSE 0 END"
+
+
+def _days_sql(days: int) -> str:
+    parts = " + ".join(f"coalesce(sum(CASE WHEN off = {o} THEN 1 ELSE 0 END) OVER (PARTITION BY player_id ORDER BY d RANGE BETWEEN {days + o} PRECEDING AND 1 PRECEDING), 0)" for o in range(8))
+    return f"{parts} + count(*) OVER (PARTITION BY player_id, d ORDER BY kk RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+@query(f"WITH {_E}, d AS (SELECT *, date_diff('day', DATE '1970-01-01', tourney_date) AS d, {_OFF} AS off FROM e), c AS (SELECT seq, side, {', '.join(f'{_days_sql(n)} AS last_{k}' for k, n in feat.DAYS.items())} FROM d) {_pair({f'last_{k}': 'BIGINT' for k in feat.DAYS}, 'c')}")
+def features_activity(spark, sf_dir):
+    return _typed(feat.paired(feat.activity(player_events(matches(spark, sf_dir))), [f"last_{k}" for k in feat.DAYS]), "long")
+
+
+@query()
+def features_all(spark, sf_dir):
+    """Every family at once (prematch)."""
+    out = feat.features(matches(spark, sf_dir))
+    return _rounded(out, [c for c, t in out.dtypes if t == "double"])
+
+
+# ---- ratings
+
+
+@query()
+def elo_ratings(spark, sf_dir):
+    return _rounded(rating.rate(matches(spark, sf_dir)), ["pre", "post"])
+
+
+@query()
+def elo_current(spark, sf_dir):
+    return _rounded(rating.current(rating.rate(matches(spark, sf_dir))), ["elo"])
+
+
+@query()
+def elo_replay(spark, sf_dir):
+    """Ratings after late matches came in: the same as rating everything in order."""
+    m = matches(spark, sf_dir)
+    old, new = m.filter("seq % 10 != 3"), m.filter("seq % 10 = 3")
+    return _rounded(rating.replay(old, new, rating.rate(old)), ["pre", "post"])
+
+
+@query()
+def elo_gradient(spark, sf_dir):
+    from ..operators.asof import last_k
+
+    r = rating.rate(matches(spark, sf_dir)).filter("rating_type = 'general'")
+    g = last_k(r, ["player_id"], F.col("post"), 10, "elo_grad_10", "gradient").withColumn("elo_grad_10", F.coalesce("elo_grad_10", F.lit(0.0)))
+    return _rounded(g.select("seq", "player_id", "elo_grad_10"), ["elo_grad_10"])
+
+
+# ---- scalars
+
+
+@query("""SELECT o_orderkey AS k, CASE WHEN length(x) = 0 THEN 'UNK' ELSE x END AS initials FROM (SELECT o_orderkey,
+  upper(array_to_string(list_transform(list_filter(regexp_split_to_array(trim(o_orderpriority), '[\\s-]+'), lambda y: y <> ''), lambda y: substr(y, 1, 1)), '')) AS x FROM orders)""")
+def scalar_initials(spark, sf_dir):
+    return _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), S.initials(F.col("o_orderpriority")).alias("initials"))
+
+
+_SCORE = "concat(o_orderkey % 8, '-', (o_orderkey // 8) % 8, ' ', (o_orderkey // 3) % 8, '-', o_custkey % 8, CASE WHEN o_orderkey % 3 = 0 THEN '(4)' ELSE '' END, CASE WHEN o_orderkey % 5 = 0 THEN ' 7-6(3)' ELSE '' END)"
+
+
+def _scores(spark, sf_dir):
+    o = _read(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    div = lambda x, n: F.floor(x / n).cast("long")
+    s = F.concat((k % 8).cast("string"), F.lit("-"), (div(k, 8) % 8).cast("string"), F.lit(" "), (div(k, 3) % 8).cast("string"), F.lit("-"), (c % 8).cast("string"), F.when(k % 3 == 0, "(4)").otherwise(""), F.when(k % 5 == 0, " 7-6(3)").otherwise(""))
+    return o.select(k.alias("k"), s.alias("score"))
+
+
+@query(f"""SELECT o_orderkey AS k, score, concat(a[1], b[1], a[2], b[2], coalesce(a[3], '0'), coalesce(b[3], '0'), '0000') AS score_key, CAST(coalesce(a[1], '0') AS INT) + CAST(coalesce(a[2], '0') AS INT) + CAST(coalesce(a[3], '0') AS INT) AS games_1
+  FROM (SELECT o_orderkey, {_SCORE} AS score, regexp_extract_all({_SCORE}, '(\\d+)-(\\d+)', 1) AS a, regexp_extract_all({_SCORE}, '(\\d+)-(\\d+)', 2) AS b FROM orders)""")
+def scalar_score_key(spark, sf_dir):
+    s = _scores(spark, sf_dir)
+    return s.select("k", "score", S.score_key(F.col("score")).alias("score_key"), sum(S.set_games(F.col("score"), 1), F.lit(0)).cast("int").alias("games_1"))
+
+
+@query(f"""WITH {_M} SELECT seq, round, CAST(round_order AS INT) AS round_order, lpad(CAST(tourney_id AS VARCHAR), 4, '0') || lpad(CAST((year(tourney_date) + CASE WHEN month(tourney_date) = 12 AND day(tourney_date) >= 25 THEN 1 ELSE 0 END) % 100 AS VARCHAR), 2, '0')
+  || lpad(CAST(round_order AS VARCHAR), 3, '0') || 'PO' || lpad(CAST(player1_id % 100 AS VARCHAR), 2, '0') || '_' || 'PT' || lpad(CAST(player2_id % 100 AS VARCHAR), 2, '0') AS match_id FROM m""")
+def scalar_match_id(spark, sf_dir):
+    m = matches(spark, sf_dir)
+    mid = S.match_id(F.col("tourney_id"), F.col("tourney_date"), F.col("round"), F.lit("Player One"), F.col("player1_id"), F.lit("Player-Two"), F.col("player2_id"))
+    return m.select("seq", "round", S.round_order(F.col("round")).cast("int").alias("round_order"), mid.alias("match_id"))
+
+
+@query("""SELECT p_partkey AS k, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(trim(regexp_replace(lower(p_name), '[^a-z0-9\\s]', ' ', 'g')), '\\s+'), lambda x: length(x) > 1 AND x NOT IN ('the', 'of', 'open', 'cup')))), ' ') AS t FROM part""")
+def scalar_name_tokens(spark, sf_dir):
+    return _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.array_join(F.array_sort(S.tokens(F.col("p_name"))), " ").alias("t"))
+
+
+@query("""SELECT o_orderkey AS k, round(p, 6) AS implied, round(odds * p - 1, 6) AS ev, round(greatest(CASE WHEN odds > 1 THEN ((odds - 1) * p - (1 - p)) / (odds - 1) ELSE 0 END, 0) * 500 * 0.25, 4) AS stake FROM (
+  SELECT o_orderkey, 1 + (o_orderkey % 37) / 10.0 AS odds, (1 / (1 + (o_custkey % 31 + 1) / 10.0)) / (1 / (1 + (o_custkey % 31 + 1) / 10.0) + 1 / (1 + (o_orderkey % 29 + 1) / 10.0)) AS p FROM orders)""")
+def scalar_prices(spark, sf_dir):
+    o = _read(spark, sf_dir, "orders").withColumns({"odds": 1 + (F.col("o_orderkey") % 37) / 10.0, "a": 1 + (F.col("o_custkey") % 31 + 1) / 10.0, "b": 1 + (F.col("o_orderkey") % 29 + 1) / 10.0})
+    p = S.implied_probability(F.col("a"), F.col("b"))
+    return o.withColumn("p", p).select(F.col("o_orderkey").alias("k"), F.round("p", 6).alias("implied"), F.round(S.expected_value(F.col("p"), F.col("odds")), 6).alias("ev"), F.round(S.kelly(F.col("p"), F.col("odds"), F.lit(500.0)), 4).alias("stake"))
+
+
+# ---- joins
+
+
+@query("""SELECT o_orderkey AS k, gap, on_ AS price_date, l FROM (SELECT o.o_orderkey, abs(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE))) AS gap, CAST(l.l_shipdate AS DATE) AS on_, l.l_linenumber AS l,
+  row_number() OVER (PARTITION BY o.o_orderkey ORDER BY abs(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE))), CAST(l.l_shipdate AS DATE), l.l_linenumber) AS rn
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE abs(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE))) <= 30) WHERE rn = 1""")
+def join_nearest(spark, sf_dir):
+    o = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("date").alias("on"))
+    li = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_shipdate").cast("date").alias("price_date"), F.col("l_linenumber").alias("l"))
+    out = linkage.nearest(o.withColumn("id", F.col("k")), li, ["k"], "on", "price_date", 30, "id")
+    return out.filter("gap is not null").select("k", F.col("gap").cast("long").alias("gap"), "price_date", "l")
+
+
+@query(f"""WITH {_M}, t AS (SELECT tourney_id, tourney_date, count(*) AS n FROM m GROUP BY ALL) SELECT t.tourney_id, t.tourney_date, CAST(n AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS priced
+  FROM t JOIN lineitem e ON CAST(e.l_shipdate AS DATE) BETWEEN t.tourney_date - 5 AND t.tourney_date + 13 GROUP BY ALL""")
+def join_interval(spark, sf_dir):
+    t = matches(spark, sf_dir).groupBy("tourney_id", "tourney_date").agg(F.count("*").alias("n"))
+    e = _read(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("on"))
+    j = linkage.within(t, e, F.date_sub("tourney_date", 5), F.date_add("tourney_date", 13), "on")
+    return j.groupBy("tourney_id", "tourney_date", "n").agg(F.count("*").alias("priced"))
+
+
+@query(f"""WITH {_M}, o AS (SELECT seq AS oid, CASE WHEN RESULT = 1 THEN player1_id ELSE player2_id END AS w, CASE WHEN RESULT = 1 THEN player2_id ELSE player1_id END AS l, tourney_date AS od FROM m WHERE seq % 3 = 0),
+b AS (SELECT m.seq, oid, CASE WHEN player1_id = w AND player2_id = l THEN 1 ELSE 2 END AS orientation FROM m JOIN o ON od = tourney_date AND ((player1_id = w AND player2_id = l) OR (player1_id = l AND player2_id = w)))
+SELECT seq, oid, CAST(orientation AS INT) AS orientation FROM (SELECT *, min(orientation) OVER (PARTITION BY seq) AS best FROM b) WHERE orientation = best""")
+def join_either_side(spark, sf_dir):
+    m = matches(spark, sf_dir)
+    won = F.col("RESULT") == 1
+    o = m.filter("seq % 3 = 0").select(F.col("seq").alias("oid"), F.when(won, F.col("player1_id")).otherwise(F.col("player2_id")).alias("w"), F.when(won, F.col("player2_id")).otherwise(F.col("player1_id")).alias("l"), F.col("tourney_date").alias("od"))
+    return linkage.either_side(m, o, ("player1_id", "player2_id"), ("w", "l"), "seq", F.col("od") == F.col("tourney_date")).select("seq", "oid", "orientation")
+
+
+@query(f"""WITH {_M}, r AS (SELECT seq AS rid, tourney_id, round, surface, player1_id FROM m WHERE seq % 2 = 0),
+k1 AS (SELECT tourney_id, round, player1_id, min(rid) AS rid FROM r GROUP BY ALL HAVING count(*) = 1), o1 AS (SELECT tourney_id, round, player1_id FROM m GROUP BY ALL HAVING count(*) = 1),
+h1 AS (SELECT m.seq, k1.rid, 'round' AS method FROM m JOIN o1 USING (tourney_id, round, player1_id) JOIN k1 USING (tourney_id, round, player1_id)),
+m2 AS (SELECT * FROM m WHERE seq NOT IN (SELECT seq FROM h1)),
+k2 AS (SELECT surface, player1_id, tourney_id, min(rid) AS rid FROM r GROUP BY ALL HAVING count(*) = 1), o2 AS (SELECT surface, player1_id, tourney_id FROM m2 GROUP BY ALL HAVING count(*) = 1),
+h2 AS (SELECT m2.seq, k2.rid, 'surface' AS method FROM m2 JOIN o2 USING (surface, player1_id, tourney_id) JOIN k2 USING (surface, player1_id, tourney_id)),
+h AS (SELECT * FROM h1 UNION ALL SELECT * FROM h2)
+SELECT m.seq, h.rid, h.method, CASE WHEN h.method IS NOT NULL THEN 'enriched' ELSE 'failed' END AS status FROM m LEFT JOIN h USING (seq)""")
+def join_cascade(spark, sf_dir):
+    m = matches(spark, sf_dir)
+    r = m.filter("seq % 2 = 0").withColumn("rid", F.col("seq"))
+    return linkage.cascade(m, r, [("round", ["tourney_id", "round", "player1_id"]), ("surface", ["surface", "player1_id", "tourney_id"])], "seq", "rid")
+
+
+# ---- aggregates, sets, order
+
+
+@query(f"""WITH {_M} SELECT tourney_id, surface, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT player1_id) AS BIGINT) AS players, CAST(count(*) FILTER (WHERE RESULT = 1) AS BIGINT) AS firsts, array_to_string(list_sort(list_distinct(list(round))), ',') AS rounds FROM m GROUP BY ALL HAVING count(*) > 5""")
+def aggregate_registry(spark, sf_dir):
+    return matches(spark, sf_dir).groupBy("tourney_id", "surface").agg(F.count("*").alias("n"), F.countDistinct("player1_id").alias("players"), F.count_if(F.col("RESULT") == 1).alias("firsts"), F.array_join(F.sort_array(F.collect_set("round")), ",").alias("rounds")).filter("n > 5")
+
+
+@query(f"""WITH {_M} SELECT surface, tourney_level, CAST(count(*) AS BIGINT) AS n, CAST(sum(RESULT) AS BIGINT) AS wins FROM m GROUP BY CUBE (surface, tourney_level)""")
+def aggregate_cube(spark, sf_dir):
+    return matches(spark, sf_dir).cube("surface", "tourney_level").agg(F.count("*").alias("n"), F.sum("RESULT").alias("wins"))
+
+
+@query(f"""WITH {_M} SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (WHERE NOT coalesce(p1_svpt > 0, false)) AS BIGINT) AS served, CAST(count(*) FILTER (WHERE NOT (best_of IN (3, 5))) AS BIGINT) AS best_of, CAST(count(*) FILTER (WHERE player1_id = player2_id) AS BIGINT) AS opponents FROM m""")
+def validate_matches(spark, sf_dir):
+    return tables.violations(matches(spark, sf_dir), {"served": F.col("p1_svpt") > 0, "best_of": F.col("best_of").isin(3, 5), "opponents": F.col("player1_id") != F.col("player2_id")}).select("n_rows", "served", "best_of", "opponents")
+
+
+@query(f"""WITH {_M} SELECT seq, tourney_date, surface FROM m WHERE tourney_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND surface IN ('Hard', 'Clay') AND tourney_id IN (2001, 2003)""")
+def filter_matches(spark, sf_dir):
+    import datetime
+
+    return tables.apply_filters(matches(spark, sf_dir), start=datetime.date(1995, 1, 1), end=datetime.date(1996, 12, 31), surface=["Hard", "Clay"], tourney_id=[2001, 2003], absent=[1]).select("seq", "tourney_date", "surface")
+
+
+@query(f"""WITH {_M}, a AS (SELECT seq, RESULT, 'old' AS v FROM m WHERE seq % 3 <> 0), b AS (SELECT seq, 1 - RESULT AS RESULT, 'new' AS v FROM m WHERE seq % 2 = 0) SELECT * FROM b UNION ALL SELECT * FROM a WHERE seq NOT IN (SELECT seq FROM b)""")
+def upsert_matches(spark, sf_dir):
+    m = matches(spark, sf_dir)
+    a = m.filter("seq % 3 != 0").select("seq", "RESULT", F.lit("old").alias("v"))
+    b = m.filter("seq % 2 = 0").select("seq", (1 - F.col("RESULT")).alias("RESULT"), F.lit("new").alias("v"))
+    return tables.upsert(a, b, "seq")
+
+
+@query(f"""WITH {_M}, q AS (SELECT *, row_number() OVER (PARTITION BY tourney_id, player1_id ORDER BY kk DESC, seq DESC) AS rn FROM m) SELECT tourney_id, player1_id, seq, CAST(rn AS INT) AS rn FROM q WHERE rn <= 3""")
+def top_k_recent(spark, sf_dir):
+    m = order_key(matches(spark, sf_dir))
+    w = Window.partitionBy("tourney_id", "player1_id").orderBy(F.desc("kk"), F.desc("seq"))
+    return m.withColumn("rn", F.row_number().over(w)).filter("rn <= 3").select("tourney_id", "player1_id", "seq", "rn")
+
+
+@query(f"""WITH {_M}, n AS (SELECT *, CASE WHEN round = 'R16' THEN 'RR' ELSE round END AS r2, row_number() OVER (PARTITION BY tourney_id ORDER BY seq) AS match_num FROM m),
+f AS (SELECT *, max(CASE WHEN r2 = 'F' THEN match_num END) OVER (PARTITION BY tourney_id, tourney_date) AS fin FROM n)
+SELECT seq, CASE WHEN r2 = 'RR' THEN '9' || lpad(CAST(row_number() OVER (PARTITION BY tourney_id, tourney_date, r2 = 'RR' ORDER BY CASE WHEN coalesce(fin <= 5, true) THEN match_num ELSE -match_num END, seq) - 1 AS VARCHAR), 2, '0') ELSE r2 END AS round FROM f""")
+def round_robin(spark, sf_dir):
+    m = matches(spark, sf_dir).withColumn("round", F.when(F.col("round") == "R16", "RR").otherwise(F.col("round")))
+    m = m.withColumn("match_num", F.row_number().over(Window.partitionBy("tourney_id").orderBy("seq")))
+    return tables.round_robin_codes(m).select("seq", "round")
+
+
+@query(f"""WITH {_M}, p AS (SELECT player1_id AS player_id FROM m UNION SELECT player2_id FROM m), x AS (SELECT player1_id AS player_id FROM m INTERSECT SELECT player2_id FROM m) SELECT player_id, player_id IN (SELECT player_id FROM x) AS both_sides FROM p""")
+def set_operations(spark, sf_dir):
+    m = matches(spark, sf_dir)
+    p = m.select(F.explode(F.array("player1_id", "player2_id")).alias("player_id")).distinct()
+    x = m.select(F.col("player1_id").alias("player_id")).intersect(m.select("player2_id")).withColumn("b", F.lit(True))
+    return p.join(x, "player_id", "left").select("player_id", F.coalesce("b", F.lit(False)).alias("both_sides"))
+
+
+# ---- resolution, back-test
+
+
+@query()
+def resolve_entities(spark, sf_dir):
+    """Part names, some with a typing error, against a registry of every third of them."""
+    part = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_name")
+    reg = part.filter("k % 3 = 0").select(F.col("k").cast("long").alias("entity_id"), F.lit("a").alias("source"), F.col("k").cast("string").alias("source_id"), F.col("p_name").alias("variant"))
+    men = part.select(F.when(F.col("k") % 5 == 0, "a").otherwise("b").alias("source"), F.col("k").cast("string").alias("source_id"), F.when(F.col("k") % 7 == 0, F.concat("p_name", F.lit("s"))).otherwise(F.col("p_name")).alias("name"))
+    out, _ = resolve.resolve(men, reg, score=tournament_similarity(F.col("name"), F.col("variant")), tokens_of=S.tokens, automatic=0.8, review=0.6)
+    return out
+
+
+@query()
+def player_similarity_pairs(spark, sf_dir):
+    n = _read(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
+    r = _read(spark, sf_dir, "nation").select(F.col("n_name").alias("variant"), F.substring("n_name", 1, 1).alias("c"))
+    return n.join(r, F.substring("name", 1, 1) == F.col("c")).select("name", "variant", player_similarity(F.col("name"), F.col("variant")).alias("similarity"))
+
+
+def _bets(spark, sf_dir):
+    m = matches(spark, sf_dir).withColumns({"p1": 0.2 + (F.col("seq") % 61) / 100.0, "odds1": 1.2 + (F.col("player1_id") % 30) / 10.0, "odds2": 1.2 + (F.col("player2_id") % 30) / 10.0})
+    return backtest.choices(m)
+
+
+_BETS = f"""{_M}, b0 AS (SELECT seq, RESULT, 0.2 + (seq % 61) / 100.0 AS p1, 1.2 + (player1_id % 30) / 10.0 AS odds1, 1.2 + (player2_id % 30) / 10.0 AS odds2 FROM m),
+b1 AS (SELECT *, odds1 * p1 - 1 AS ev1, odds2 * (1 - p1) - 1 AS ev2 FROM b0),
+b AS (SELECT seq, CASE WHEN ev1 >= ev2 THEN odds1 ELSE odds2 END AS odds, CASE WHEN ev1 >= ev2 THEN p1 ELSE 1 - p1 END AS probability, CASE WHEN ev1 >= ev2 THEN RESULT ELSE 1 - RESULT END AS won FROM b1)"""
+
+
+@query(f"""WITH {_BETS} SELECT CAST(t AS DOUBLE) AS threshold, CAST(count(*) AS BIGINT) AS bets, round(avg(won), 6) AS hit_rate, round(sum(CASE WHEN won = 1 THEN odds - 1 ELSE -1 END), 4) AS profit
+  FROM b, (SELECT unnest([0.5, 0.55, 0.6, 0.65, 0.7]) AS t) WHERE probability >= t + 0.0001 GROUP BY t""")
+def backtest_sweep(spark, sf_dir):
+    return backtest.sweep(_bets(spark, sf_dir), F.col("probability") - 0.0001, [0.5, 0.55, 0.6, 0.65, 0.7]).select("threshold", "bets", F.round("hit_rate", 6).alias("hit_rate"), F.round("profit", 4).alias("profit"))
+
+
+@query()
+def backtest_kelly(spark, sf_dir):
+    b = _bets(spark, sf_dir).filter("ev >= 0.2").withColumn("strategy", F.lit("kelly"))
+    return _rounded(backtest.summary(backtest.simulate(b, backtest.kelly_stake())), ["profit", "staked", "roi", "min_bankroll"], 4)
+
+
+@query()
+def backtest_ruin(spark, sf_dir):
+    return backtest.ruin(_bets(spark, sf_dir).filter("ev >= 0.2 and seq % 50 = 7"), backtest.flat_stake(50.0), runs=50)
+
+
+@query("""SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(json_extract_string(props, '$.k')) AS BIGINT) AS with_k FROM events GROUP BY 1""")
+def json_properties(spark, sf_dir):
+    e = _read(spark, sf_dir, "events")
+    return e.groupBy("event_type").agg(F.count("*").alias("n"), F.count(F.get_json_object(F.col("props").cast("string"), "$.k")).alias("with_k"))
