@@ -132,7 +132,13 @@ def _start(rows: DataFrame, keys: list[str], floors: list[float]) -> DataFrame:
 
 
 def _with(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join by keys that may be null; groups are one row a key, and a hot key's rows are split by AQE."""
+    """Left join by keys that may be null; groups are one row a key, and a hot key's rows are split by AQE.
+
+    Without keys, groups are one row, whose values go into the plan as literals.
+    """
+    if not keys:
+        one = groups.first()
+        return rows.withColumns({c: F.lit(one[c]).cast(t) for c, t in groups.dtypes})
     g = groups.select(*[F.col(k).alias(f"__g_{k}") for k in keys], *[c for c in groups.columns if c not in keys])
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys])
     return rows.join(g, on, "left").drop(*[f"__g_{k}" for k in keys])
@@ -142,7 +148,7 @@ def distances(rows: DataFrame, keys: list[str], features: dict, *, share: float
     """rows and __d, the squared robust distance of each. rows are few columns: they are written once and reread each step."""
     floors = [f for _, f in features.values()]
     n = len(floors)
-    base = rows.withColumns({f"__x{i}": c() for i, (c, _) in enumerate(features.values())}).withColumn("__all", F.lit(1))
+    base = rows.withColumns({f"__x{i}": c() for i, (c, _) in enumerate(features.values())})
     # so that the kept share of a normal sample has a consistent covariance
     scale = {0.5: 1.9, 0.75: 1.35, 0.9: 1.15}.get(share, 1.35)
 
@@ -155,11 +161,11 @@ def distances(rows: DataFrame, keys: list[str], features: dict, *, share: float
             est = written(_estimate(kept, by, floors, scale), label)
         return est
 
-    own, pooled = fit(keys), fit(["__all"])
+    own, pooled = fit(keys), fit([])
     params = [c for c in pooled.columns if c.startswith(("__m", "__l"))]
     own = own.filter(F.col("__n") >= min_group * share).select(*keys, *[F.col(c).alias(f"{c}_own") for c in params])
-    pooled = pooled.select("__all", *[F.col(c).alias(f"{c}_all") for c in params])
-    both = _with(_with(base, own, keys), pooled, ["__all"])
+    pooled = pooled.select(*[F.col(c).alias(f"{c}_all") for c in params])
+    both = _with(_with(base, own, keys), pooled, [])
     both = both.withColumns({c: F.coalesce(f"{c}_own", f"{c}_all") for c in params})
     return _by_steps(both, _distance(n)).select(*rows.columns, "__d")
 
