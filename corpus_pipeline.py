@@ -13,10 +13,16 @@ from matchloom.llm import bpe, decontaminate, minhash, quality, toxicity
 from matchloom.llm.common import table, written
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """docs whose further columns can't clash with what an operator adds."""
+    return docs.toDF(*[c if c in ("doc_id", "text", "n_chars") else f"__own_{c}" for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain finds toxic go."""
     chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, chain).filter("not is_toxic").select(*docs.columns)
+    apart = _apart(docs)
+    return toxicity.score(apart, chain).filter("not is_toxic").select(*apart.columns).toDF(*docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +41,7 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def cut_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of benchmark passages are cut out; a document that was nothing else goes."""
-    return decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), cut=True).select(*docs.columns)
+    return decontaminate.scan(_apart(docs), table(spark, sf_dir, "benchmark"), cut=True).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
