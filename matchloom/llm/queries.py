@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, licenses, lm, minhash, quality, toxicity, url_filters, warc
+from . import bpe, chat, decontaminate, licenses, lm, minhash, oracles, quality, toxicity, url_filters, warc
 from .common import table
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -74,4 +74,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_warc, op3_url_filters, op4_lm_scoring, op5_toxicity, op6_quality_rules, op7_minhash, op8_license_scans, op9_byte_bpe, op10_decontamination)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_chat_formatting": oracles.chat(PROBE),
+    "op2_warc": oracles.WARC,
+    "op3_url_filters": oracles.urls(URL_RULES),
+    "op8_license_scans": oracles.license_rules(),
+    "op10_decontamination": oracles.DECONTAMINATION,
+}
