@@ -146,12 +146,14 @@ def encode(docs: DataFrame, *, ranks: str | None = None, pattern: str | None = N
                 yield pd.DataFrame({"doc_id": [doc], "part": [part], "parts": [parts], "ids": [np.array(ids, np.int32)]})
 
     short = rows.filter(F.length("text") <= long_chars).mapInArrow(whole, sql)
-    cut = rows.filter(F.length("text") > long_chars).mapInPandas(chunks, f"doc_id {kind}, text_key string, part int, parts int, chunk string")
-    seen = cut.repartition("text_key", "part").mapInPandas(halves, f"doc_id {kind}, text_key string, part int, parts int, chunk string, first array<int>, last array<int>")
+    # ids pass pandas as strings: a null among integers would make floats of them
+    cut = rows.filter(F.length("text") > long_chars).withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(chunks, "doc_id string, text_key string, part int, parts int, chunk string")
+    seen = cut.repartition("text_key", "part").mapInPandas(halves, "doc_id string, text_key string, part int, parts int, chunk string, first array<int>, last array<int>")
     starts = seen.select("text_key", (F.col("part") - 1).alias("part"), F.col("first").alias("next_first"))
     joined = seen.drop("first").join(starts, ["text_key", "part"], "left").withColumn("next_first", F.coalesce("next_first", F.array().cast("array<int>")))
     joined = joined.repartition("text_key").sortWithinPartitions("text_key", "part")
-    return short.union(joined.mapInPandas(stitched, sql))
+    long = joined.mapInPandas(stitched, "doc_id string, part int, parts int, ids array<int>")
+    return short.union(long.withColumn("doc_id", F.col("doc_id").cast(kind)))
 
 
 def _rows(doc_ids: pa.Array, part: list[int], parts: list[int], ids: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
@@ -164,7 +166,7 @@ def _rows(doc_ids: pa.Array, part: list[int], parts: list[int], ids: list[np.nda
 def digests(encoded: DataFrame, *, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 from encode()'s parts; only texts of several parts are shuffled."""
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    sql = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    sql = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = coder(ranks, pattern)
@@ -182,4 +184,5 @@ def digests(encoded: DataFrame, *, ranks: str | None = None, pattern: str | None
                     out.append((doc, n, of_ids.hexdigest(), of_bytes.hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return encoded.mapInPandas(run, sql)
+    out = encoded.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, sql)
+    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
