@@ -93,7 +93,7 @@ class Renderer:
         return now[at:], begin, end, rewrites
 
 
-_PIECES = "conv_id {id}, position long, role string, piece string, begin long, content_begin long, content_end long, trained boolean, rewrites boolean"
+_PIECES = "conv_id string, position long, role string, piece string, begin long, content_begin long, content_end long, trained boolean, rewrites boolean"
 
 
 def render(turns: DataFrame, template: Template = marked, *, context: int = 16, trained_roles: tuple[str, ...] = ("assistant",), id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -101,14 +101,14 @@ def render(turns: DataFrame, template: Template = marked, *, context: int = 16,
     conversation's output, the text's offsets in the piece, and whether the loss mask covers the text."""
     parts = turns.select(F.col(id_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = parts.schema["conv_id"].dataType.simpleString()
-    parts = parts.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # ids pass pandas as strings: a null among integers would make floats of them
+    parts = parts.withColumn("conv_id", F.col("conv_id").cast("string")).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, renderer, offset, position = object(), None, 0, 0
         for batch in batches:
             out = []
-            ids = batch["conv_id"].astype(object).where(batch["conv_id"].notna(), None)
-            for conv, role, text in zip(ids, batch["role"], batch["text"]):
+            for conv, role, text in zip(batch["conv_id"], batch["role"], batch["text"]):
                 if renderer is None or conv != current:
                     current, renderer, offset, position = conv, Renderer(template, context), 0, 0
                 piece, begin, end, rewrites = renderer.add(role, text)
@@ -117,7 +117,7 @@ def render(turns: DataFrame, template: Template = marked, *, context: int = 16,
                 position += 1
             yield pd.DataFrame(out, columns=["conv_id", "position", "role", "piece", "begin", "content_begin", "content_end", "trained", "rewrites"])
 
-    return parts.mapInPandas(run, _PIECES.format(id=kind))
+    return parts.mapInPandas(run, _PIECES).withColumn("conv_id", F.col("conv_id").cast(kind))
 
 
 def digests(pieces: DataFrame) -> DataFrame:
@@ -129,8 +129,7 @@ def digests(pieces: DataFrame) -> DataFrame:
         current, state = None, None
         done = []
         for batch in batches:
-            ids = batch["conv_id"].astype(object).where(batch["conv_id"].notna(), None)
-            for conv, piece, begin, end, trained, rewrites in zip(ids, batch["piece"], batch["content_begin"], batch["content_end"], batch["trained"], batch["rewrites"]):
+            for conv, piece, begin, end, trained, rewrites in zip(batch["conv_id"], batch["piece"], batch["content_begin"], batch["content_end"], batch["trained"], batch["rewrites"]):
                 if state is None or conv != current:
                     if state is not None:
                         done.append(_close(current, state))
@@ -150,7 +149,8 @@ def digests(pieces: DataFrame) -> DataFrame:
         if state is not None:
             yield pd.DataFrame([_close(current, state)], columns=columns)
 
-    return pieces.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean")
+    out = pieces.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean")
+    return out.withColumn("conv_id", F.col("conv_id").cast(kind))
 
 
 def _close(conv, state) -> tuple:
