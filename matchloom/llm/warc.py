@@ -115,10 +115,8 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str =
         task, number, open_ = TaskContext.get().partitionId(), 0, bytearray()
         row = lambda: pd.DataFrame({"path": [f"part-{task:05d}-{number:05d}.warc.gz"], "content": [bytes(open_)]})
         for batch in batches:
-            first = batch["first"].astype("Int64")
-            ids = batch["page_id"].astype("Int64")
-            for page, url, payload, of in zip(ids, batch["url"], batch["payload"], first):
-                page, of = (None if x is pd.NA else int(x) for x in (page, of))
+            for page, url, payload, of in zip(batch["page_id"], batch["url"], batch["payload"], batch["first"]):
+                page, of = (None if x is None else int(x) for x in (page, of))
                 open_ += record(page, url, bytes(payload), None if of is None or of == page else of)
                 if len(open_) >= archive_bytes:
                     yield row()
@@ -126,7 +124,8 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str =
         if open_:
             yield row()
 
-    return rows.select("page_id", "url", "payload", "first").mapInPandas(run, "path string, content binary")
+    # ids pass pandas as strings: a null among integers would make floats of them
+    return rows.select(F.col("page_id").cast("string"), "url", "payload", F.col("first").cast("string")).mapInPandas(run, "path string, content binary")
 
 
 def read_archives(archives: DataFrame, *, payload: bool = True) -> DataFrame:
@@ -148,5 +147,5 @@ def read_archives(archives: DataFrame, *, payload: bool = True) -> DataFrame:
 
 
 def _frame(rows: list[list], names: list[str]) -> pd.DataFrame:
-    df = pd.DataFrame(rows, columns=names)
-    return df.astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes")})
+    columns = dict(zip(names, map(list, zip(*rows)) if rows else [[] for _ in names]))
+    return pd.DataFrame({c: pd.array(x, "Int64" if c in ("page_id", "refers_to", "payload_bytes") else object) for c, x in columns.items()})

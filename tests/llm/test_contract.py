@@ -331,3 +331,20 @@ def test_license_texts(spark):
     rows_ = [(1, mit), (2, Q.licenses.SENTENCES["as-is"]), (3, Q.licenses.SENTENCES["mit-notice"] + "\n" + Q.licenses.SENTENCES["mit-grant"]), (4, "x " + Q.licenses.SENTENCES["mit-ref"])]
     got = {r.doc_id: r.licenses for r in Q.licenses.scan(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
     assert got == {1: ["MIT"], 2: [], 3: [], 4: []}
+
+
+def test_large_ids_beside_null_ids(spark):
+    """Ids over 2 ** 53 keep their digits in op1, op2 and op9 if null ids stand in the same batch."""
+    from matchloom.llm import bpe, chat, warc
+
+    big = [None, 2**62 + 1, 2**53 + 1, -(2**62) - 3]
+    docs = spark.createDataFrame([(i, f"word {n} " * (1 + 40 * (n % 2))) for n, i in enumerate(big)], "doc_id long, text string").coalesce(1)
+    ids = lambda df, c: sorted((r[c] for r in df.collect()), key=str)
+    want = sorted(big, key=str)
+    assert ids(bpe.digests(bpe.encode(docs)), "doc_id") == want
+    assert ids(bpe.digests(bpe.encode(docs, chunk=32, overlap=16, long_chars=64)), "doc_id") == want
+    turns = docs.selectExpr("doc_id AS conv_id", "0 AS turn", "'user' AS role", "text")
+    assert ids(chat.digests(chat.render(turns)), "conv_id") == want
+    same = docs.selectExpr("doc_id AS page_id", "'http://a.b/' AS url", "'same' AS html")
+    got = {r["page_id"]: r["refers_to"] for r in warc.read_archives(warc.write_archives(same)).collect()}
+    assert got == {None: min(big[1:]), big[1]: min(big[1:]), big[2]: min(big[1:]), big[3]: None}
