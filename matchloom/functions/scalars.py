@@ -128,9 +128,73 @@ def valid_hand(text: Column) -> Column:
     return recode(F.lower(F.trim(text)), {"l": "L", "left": "L", "left-handed": "L", "r": "R", "right": "R", "right-handed": "R", "u": "U", "unknown": "U"})
 
 
-def level_range(level: Column) -> Column:
-    """First id of a level's range of identifiers."""
-    return recode(level, {"G": 5000, "M": 4000, "A": 2000}, 0)
+#: First and last identifier by level; other levels take that of C.
+LEVEL_RANGES = {"G": (5000, 5999), "O": (4800, 4999), "M": (4500, 4799), "F": (4500, 4999), "D": (4000, 4499), "A": (2000, 3999), "C": (1000, 1999), "S": (1000, 1999)}
+
+
+def level_range(level: Column) -> tuple[Column, Column]:
+    """First and last identifier of a level."""
+    bound = lambda i: recode(F.upper(level), {k: v[i] for k, v in LEVEL_RANGES.items()}, LEVEL_RANGES["C"][i])
+    return bound(0), bound(1)
+
+
+def id_fits_level(source_id: Column, level: Column) -> Column:
+    """Four digits within the level's range."""
+    low, high = level_range(level)
+    return F.coalesce(source_id.rlike("^[0-9]{4}$") & source_id.try_cast("int").between(low, high), F.lit(False))
+
+
+def id_problem(source_id: Column) -> Column:
+    """What is wrong with an event's source id: the first of these, else null."""
+    return F.when(source_id.contains("-"), "hyphen").when(source_id.rlike("[^A-Za-z0-9]"), "special").when(F.length(source_id) > 5, "long").when(~source_id.rlike("^[0-9]+$"), "letters")
+
+
+def clean_event_id(source_id: Column, name: Column) -> Column:
+    """Team cups by the word after their name, the games' one id, else what follows the year's hyphen with letters as 0."""
+    word = F.upper(F.regexp_extract(name, r"(?i)Davis Cup\s+(\w+)", 1))
+    cup = F.when(word == "FINALS", "430").when(word.isin("G1", "WG1", "WG"), "431").when(word.isin("WG2", "G2"), "432").when(word == "QLS", "433")
+    plain = F.when(source_id.contains("-"), F.get(F.split(source_id, "-"), 1)).otherwise(source_id)
+    return F.when(F.lower(name).contains("olympic"), "4800").otherwise(F.coalesce(cup, F.regexp_replace(plain, "[a-zA-Z]", "0")))
+
+
+def title(name: Column) -> Column:
+    """Words with a capital; the tours' and countries' short names in capitals."""
+    keep = ("ATP", "WTA", "ITF", "US", "UK")
+    return F.array_join(F.transform(F.filter(F.split(F.trim(name), r"\s+"), lambda x: x != ""), lambda w: F.when(F.upper(w).isin(*keep), F.upper(w)).otherwise(F.initcap(w))), " ")
+
+
+def _name_parts(name: Column) -> Column:
+    return F.filter(F.split(F.regexp_replace(F.lower(name), r"[.\-]", " "), r"\s+"), lambda x: x != "")
+
+
+def priced_name(name: Column) -> Column:
+    """(last, initials) of a bookmaker's 'Van Der Meer J.'; one word is all last name."""
+    parts = F.filter(F.split(F.trim(F.coalesce(name, F.lit(""))), r"\s+"), lambda x: x != "")
+    n = F.size(parts)
+    initials_ = F.when(n > 1, F.regexp_replace(F.element_at(parts, -1), r"\.", "")).otherwise("")
+    return F.struct(F.when(n > 1, F.array_join(F.slice(parts, 1, F.greatest(n - 1, F.lit(1))), " ")).otherwise(F.array_join(parts, " ")).alias("last"), initials_.alias("initials"))
+
+
+def tie_break(full: Column, priced: Column) -> Column:
+    """2 for the last name, 1.5 for a part of it, and 1 for the initial; 0 with a null."""
+    a, b = _name_parts(full), _name_parts(priced)
+    x, y = F.coalesce(F.get(a, F.size(a) - 1), F.lit("")), F.coalesce(F.get(b, F.lit(0)), F.lit(""))
+    last = F.when(x == y, 2.0).when(x.contains(y) | y.contains(x), 1.5).otherwise(0.0)
+    first = F.when(F.substring(F.get(a, F.lit(0)), 1, 1) == F.substring(F.get(b, F.lit(1)), 1, 1), 1.0).otherwise(0.0)
+    return F.when((x != "") & (y != ""), last + first).otherwise(0.0)
+
+
+def oriented_prices(first_won: Column, maximum: tuple[Column, Column], sharp: tuple[Column, Column], soft: tuple[Column, Column]) -> dict[str, Column]:
+    """Prices of (winner, loser) as those of players 1 and 2, with the source: sharp, else soft, else the maximum only."""
+    side = lambda w, l: F.when(first_won, w).otherwise(l)
+    price = [F.coalesce(a, b) for a, b in zip(sharp, soft)]
+    both = lambda p: p[0].isNotNull() & p[1].isNotNull()
+    return {"p1_max_odds": side(*maximum), "p2_max_odds": side(*maximum[::-1]), "p1_odds": side(*price), "p2_odds": side(*price[::-1]), "odds_source": F.when(both(sharp), "pinnacle").when(both(soft), "bet365").otherwise("max_only")}
+
+
+def draw_size(text: Column) -> Column:
+    """The singles draw in 'SGL 32 | DBL 16'."""
+    return F.regexp_extract(text, r"SGL\s*(\d+)", 1).try_cast("int")
 
 
 def implied_probability(odds: Column, other: Column) -> Column:

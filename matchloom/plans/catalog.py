@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..fixture import MATCH_SQL, matches
 from ..functions import scalars as S
 from ..functions.similarity import player_similarity, tournament_similarity
-from ..operators import backtest, linkage, rating, resolve, tables
+from ..operators import backtest, linkage, rating, registry, resolve, tables
 from ..operators.asof import order_key
 from ..operators.events import player_events
 from . import features as feat
@@ -137,7 +137,7 @@ def elo_current(spark, sf_dir):
 def elo_replay(spark, sf_dir):
     """Ratings after late matches came in: the same as rating everything in order."""
     m = matches(spark, sf_dir)
-    old, new = m.filter("seq % 10 != 3"), m.filter("seq % 10 = 3")
+    old, new = m.filter("tourney_level != 'O'"), m.filter("tourney_level = 'O'")
     return _rounded(rating.replay(old, new, rating.rate(old)), ["pre", "post"])
 
 
@@ -220,17 +220,17 @@ def join_interval(spark, sf_dir):
     return j.groupBy("tourney_id", "tourney_date", "n").agg(F.count("*").alias("priced"))
 
 
-@query(f"""WITH {_M}, o AS (SELECT seq AS oid, CASE WHEN RESULT = 1 THEN player1_id ELSE player2_id END AS w, CASE WHEN RESULT = 1 THEN player2_id ELSE player1_id END AS l, tourney_date AS od FROM m WHERE seq % 3 = 0),
+@query(f"""WITH {_M}, o AS (SELECT seq AS oid, CASE WHEN RESULT = 1 THEN player1_id ELSE player2_id END AS w, CASE WHEN RESULT = 1 THEN player2_id ELSE player1_id END AS l, tourney_date AS od FROM m),
 b AS (SELECT m.seq, oid, CASE WHEN player1_id = w AND player2_id = l THEN 1 ELSE 2 END AS orientation FROM m JOIN o ON od = tourney_date AND ((player1_id = w AND player2_id = l) OR (player1_id = l AND player2_id = w)))
 SELECT seq, oid, CAST(orientation AS INT) AS orientation FROM (SELECT *, min(orientation) OVER (PARTITION BY seq) AS best FROM b) WHERE orientation = best""")
 def join_either_side(spark, sf_dir):
     m = matches(spark, sf_dir)
     won = F.col("RESULT") == 1
-    o = m.filter("seq % 3 = 0").select(F.col("seq").alias("oid"), F.when(won, F.col("player1_id")).otherwise(F.col("player2_id")).alias("w"), F.when(won, F.col("player2_id")).otherwise(F.col("player1_id")).alias("l"), F.col("tourney_date").alias("od"))
+    o = m.select(F.col("seq").alias("oid"), F.when(won, F.col("player1_id")).otherwise(F.col("player2_id")).alias("w"), F.when(won, F.col("player2_id")).otherwise(F.col("player1_id")).alias("l"), F.col("tourney_date").alias("od"))
     return linkage.either_side(m, o, ("player1_id", "player2_id"), ("w", "l"), "seq", F.col("od") == F.col("tourney_date")).select("seq", "oid", "orientation")
 
 
-@query(f"""WITH {_M}, r AS (SELECT seq AS rid, tourney_id, round, surface, player1_id FROM m WHERE seq % 2 = 0),
+@query(f"""WITH {_M}, r AS (SELECT seq AS rid, tourney_id, round, surface, player1_id FROM m),
 k1 AS (SELECT tourney_id, round, player1_id, min(rid) AS rid FROM r GROUP BY ALL HAVING count(*) = 1), o1 AS (SELECT tourney_id, round, player1_id FROM m GROUP BY ALL HAVING count(*) = 1),
 h1 AS (SELECT m.seq, k1.rid, 'round' AS method FROM m JOIN o1 USING (tourney_id, round, player1_id) JOIN k1 USING (tourney_id, round, player1_id)),
 m2 AS (SELECT * FROM m WHERE seq NOT IN (SELECT seq FROM h1)),
@@ -240,7 +240,7 @@ h AS (SELECT * FROM h1 UNION ALL SELECT * FROM h2)
 SELECT m.seq, h.rid, h.method, CASE WHEN h.method IS NOT NULL THEN 'enriched' ELSE 'failed' END AS status FROM m LEFT JOIN h USING (seq)""")
 def join_cascade(spark, sf_dir):
     m = matches(spark, sf_dir)
-    r = m.filter("seq % 2 = 0").withColumn("rid", F.col("seq"))
+    r = m.withColumn("rid", F.col("seq"))
     return linkage.cascade(m, r, [("round", ["tourney_id", "round", "player1_id"]), ("surface", ["surface", "player1_id", "tourney_id"])], "seq", "rid")
 
 
@@ -269,11 +269,11 @@ def filter_matches(spark, sf_dir):
     return tables.apply_filters(matches(spark, sf_dir), start=datetime.date(1995, 1, 1), end=datetime.date(1996, 12, 31), surface=["Hard", "Clay"], tourney_id=[2001, 2003], absent=[1]).select("seq", "tourney_date", "surface")
 
 
-@query(f"""WITH {_M}, a AS (SELECT seq, RESULT, 'old' AS v FROM m WHERE seq % 3 <> 0), b AS (SELECT seq, 1 - RESULT AS RESULT, 'new' AS v FROM m WHERE seq % 2 = 0) SELECT * FROM b UNION ALL SELECT * FROM a WHERE seq NOT IN (SELECT seq FROM b)""")
+@query(f"""WITH {_M}, a AS (SELECT seq, RESULT, 'old' AS v FROM m), b AS (SELECT seq * 2 AS seq, 1 - RESULT AS RESULT, 'new' AS v FROM m) SELECT * FROM b UNION ALL SELECT * FROM a WHERE seq NOT IN (SELECT seq FROM b)""")
 def upsert_matches(spark, sf_dir):
     m = matches(spark, sf_dir)
-    a = m.filter("seq % 3 != 0").select("seq", "RESULT", F.lit("old").alias("v"))
-    b = m.filter("seq % 2 = 0").select("seq", (1 - F.col("RESULT")).alias("RESULT"), F.lit("new").alias("v"))
+    a = m.select("seq", "RESULT", F.lit("old").alias("v"))
+    b = m.select((F.col("seq") * 2).alias("seq"), (1 - F.col("RESULT")).alias("RESULT"), F.lit("new").alias("v"))
     return tables.upsert(a, b, "seq")
 
 
@@ -306,9 +306,9 @@ def set_operations(spark, sf_dir):
 
 @query()
 def resolve_entities(spark, sf_dir):
-    """Part names, some with a typing error, against a registry of every third of them."""
-    part = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_name")
-    reg = part.filter("k % 3 = 0").select(F.col("k").cast("long").alias("entity_id"), F.lit("a").alias("source"), F.col("k").cast("string").alias("source_id"), F.col("p_name").alias("variant"))
+    """Part names, some with a typing error, against a registry of the economy ones."""
+    part = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_name", "p_type")
+    reg = part.filter("p_type = 'ECONOMY'").select(F.col("k").cast("long").alias("entity_id"), F.lit("a").alias("source"), F.col("k").cast("string").alias("source_id"), F.col("p_name").alias("variant"))
     men = part.select(F.when(F.col("k") % 5 == 0, "a").otherwise("b").alias("source"), F.col("k").cast("string").alias("source_id"), F.when(F.col("k") % 7 == 0, F.concat("p_name", F.lit("s"))).otherwise(F.col("p_name")).alias("name"))
     out, _ = resolve.resolve(men, reg, score=tournament_similarity(F.col("name"), F.col("variant")), tokens_of=S.tokens, automatic=0.8, review=0.6)
     return out
@@ -345,10 +345,157 @@ def backtest_kelly(spark, sf_dir):
 
 @query()
 def backtest_ruin(spark, sf_dir):
-    return backtest.ruin(_bets(spark, sf_dir).filter("ev >= 0.2 and seq % 50 = 7"), backtest.flat_stake(50.0), runs=50)
+    return backtest.ruin(_bets(spark, sf_dir).filter("ev >= 0.2"), backtest.flat_stake(50.0), runs=50)
 
 
 @query("""SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(json_extract_string(props, '$.k')) AS BIGINT) AS with_k FROM events GROUP BY 1""")
 def json_properties(spark, sf_dir):
     e = _read(spark, sf_dir, "events")
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.count(F.get_json_object(F.col("props").cast("string"), "$.k")).alias("with_k"))
+
+
+# ---- registers, identifiers, names
+
+
+@query("""WITH x AS (SELECT s_suppkey AS k, CAST(CAST(1000 + s_suppkey * 37 % 5200 AS BIGINT) AS VARCHAR) AS source_id, substr('GOMFDACSX', CAST(s_suppkey % 9 AS BIGINT) + 1, 1) AS lv, s_nationkey FROM supplier),
+l AS (SELECT * FROM (VALUES ('G', 5000, 5999), ('O', 4800, 4999), ('M', 4500, 4799), ('F', 4500, 4999), ('D', 4000, 4499), ('A', 2000, 3999), ('C', 1000, 1999), ('S', 1000, 1999)) t(level, low, high)),
+reg AS (SELECT DISTINCT CAST(1000 + c_custkey * 3 AS INT) AS id FROM customer),
+f AS (SELECT level, min(i) AS free_id FROM (SELECT level, unnest(range(low, high + 1)) AS i FROM l) WHERE i NOT IN (SELECT id FROM reg) GROUP BY level),
+y AS (SELECT x.*, CAST(source_id AS INT) AS i, coalesce(l.level, 'C') AS lk FROM x LEFT JOIN l ON l.level = lv)
+SELECT k, lv AS level, source_id, CAST(CASE WHEN i BETWEEN low AND high AND i NOT IN (SELECT id FROM reg) THEN i ELSE free_id END AS INT) AS suggested_id FROM y JOIN l ON l.level = lk LEFT JOIN f ON f.level = lk""")
+def registry_suggested_ids(spark, sf_dir):
+    """An identifier for every supplier beside those that customers hold."""
+    k = F.col("s_suppkey")
+    x = _read(spark, sf_dir, "supplier").select(k.alias("k"), (F.lit(1000) + k * 37 % 5200).cast("long").cast("string").alias("source_id"), F.substring(F.lit("GOMFDACSX"), (k % 9).cast("int") + 1, F.lit(1)).alias("level"))
+    reg = _read(spark, sf_dir, "customer").select((F.lit(1000) + F.col("c_custkey") * 3).alias("id"))
+    return registry.suggest_ids(x, reg, "source_id", "level", "id").select("k", "level", "source_id", "suggested_id")
+
+
+@query("SELECT p_name, p_partkey, CASE WHEN lower(p_name) = 'widget' THEN 1.0::DOUBLE ELSE 0.7::DOUBLE END AS similarity FROM (SELECT DISTINCT p_name, min(p_partkey) AS p_partkey FROM part GROUP BY p_name) WHERE contains(lower(p_name), 'widget') ORDER BY 3 DESC, 1 LIMIT 20")
+def registry_search(spark, sf_dir):
+    """The twenty best names that hold a text; the limit is the report's."""
+    names = _read(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("p_partkey"))
+    return registry.search(names, "p_name", "widget").select("p_name", "p_partkey", "similarity")
+
+
+@query(f"WITH {_M} SELECT round(avg(CASE WHEN p1_svpt IS NULL THEN 0.0 ELSE 1 END) * 100, 2) AS p1_svpt, round(avg(CASE WHEN p2_svpt IS NULL THEN 0.0 ELSE 1 END) * 100, 2) AS p2_svpt, round(avg(CASE WHEN surface IS NULL THEN 0.0 ELSE 1 END) * 100, 2) AS surface FROM m")
+def registry_coverage(spark, sf_dir):
+    return registry.coverage(matches(spark, sf_dir), ["p1_svpt", "p2_svpt", "surface"])
+
+
+@query(f"WITH {_M} SELECT seq, CASE WHEN p2_svpt IS NULL THEN 'p1_svpt,p2_svpt' ELSE 'p1_svpt' END AS missing FROM m WHERE p1_svpt IS NULL")
+def registry_missing(spark, sf_dir):
+    out = registry.missing(matches(spark, sf_dir), "seq", ["p1_svpt", "p2_svpt"])
+    return out.select("seq", F.array_join("missing", ",").alias("missing"))
+
+
+@query("SELECT p_name, array_to_string(list_sort(list(DISTINCT p_brand)), ',') AS p_brand FROM part GROUP BY p_name HAVING count(DISTINCT p_brand) > 1")
+def registry_ambiguous(spark, sf_dir):
+    return registry.ambiguous(_read(spark, sf_dir, "part"), "p_name", "p_brand").select("p_name", F.array_join("p_brand", ",").alias("p_brand"))
+
+
+@query("""SELECT s_suppkey, CAST(c_custkey AS BIGINT) AS c_custkey, gap FROM (SELECT s_suppkey, c_custkey, round(abs(s_acctbal - c_acctbal), 2) AS gap,
+  row_number() OVER (PARTITION BY s_suppkey ORDER BY round(abs(s_acctbal - c_acctbal), 2), c_custkey) AS rn FROM supplier JOIN customer ON s_nationkey = c_nationkey) WHERE rn = 1""")
+def join_closest_rank(spark, sf_dir):
+    """For every supplier the customer of its nation with the nearest balance (in cents)."""
+    cents = lambda c: F.round(F.col(c) * 100).cast("long")
+    s = _read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), cents("s_acctbal").alias("rank"))
+    c = _read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), cents("c_acctbal").alias("rank"), F.col("c_custkey").cast("long").alias("c_custkey"))
+    return registry.closest_rank(s, c, ["nation"], "rank", "c_custkey", "s_suppkey").withColumn("gap", F.round(F.col("gap") / 100, 2))
+
+
+_ENDED = "DATE '1996-06-01'"
+
+
+@query(f"""WITH {_M}, i AS (SELECT DISTINCT lpad(CAST(tourney_id AS VARCHAR), 4, '0') AS t, year(tourney_date) % 100 AS y, round FROM m), f AS (SELECT DISTINCT t, y FROM i WHERE round = 'F'),
+e AS (SELECT tourney_id, year(tourney_date) AS y, max(tourney_date) AS end_date FROM m GROUP BY ALL)
+SELECT e.tourney_id, CAST(e.y AS INT) AS year, f.t IS NOT NULL AS final_processed, CASE WHEN f.t IS NOT NULL THEN 'Processed' WHEN end_date < {_ENDED} THEN 'Finished - Needs Processing' ELSE 'Ongoing' END AS status,
+  CASE WHEN f.t IS NOT NULL THEN 'None' WHEN end_date < {_ENDED} THEN 'High' ELSE 'Medium' END AS priority
+FROM e LEFT JOIN f ON f.t = lpad(CAST(e.tourney_id AS VARCHAR), 4, '0') AND f.y = e.y % 100""")
+def registry_status(spark, sf_dir):
+    """Which events' finals have been processed, and what is to be done about the others."""
+    m = matches(spark, sf_dir)
+    mid = S.match_id(F.col("tourney_id"), F.col("tourney_date"), F.col("round"), F.lit("a"), F.col("player1_id"), F.lit("b"), F.col("player2_id"))
+    e = m.groupBy("tourney_id", F.year("tourney_date").alias("year")).agg(F.max("tourney_date").alias("end_date"))
+    out = registry.event_status(e, registry.processed_counts(m.select(mid.alias("match_id")), "match_id"), "tourney_id", "end_date", F.col("year"), F.lit("1996-06-01").cast("date"))
+    return out.select("tourney_id", "year", "final_processed", "status", "priority")
+
+
+@query(f"""WITH {_M}, i AS (SELECT DISTINCT tourney_id, year(tourney_date) % 100 AS y, round_order, player1_id, player2_id FROM m)
+SELECT lpad(CAST(tourney_id AS VARCHAR), 4, '0') AS tourney, lpad(CAST(y AS VARCHAR), 2, '0') AS year, lpad(CAST(round_order AS VARCHAR), 3, '0') AS round, CAST(count(*) AS BIGINT) AS n FROM i GROUP BY ALL""")
+def registry_processed(spark, sf_dir):
+    mid = S.match_id(F.col("tourney_id"), F.col("tourney_date"), F.col("round"), F.lit("a"), F.col("player1_id"), F.lit("b"), F.col("player2_id"))
+    return registry.processed_counts(matches(spark, sf_dir).select(mid.alias("match_id")), "match_id")
+
+
+@query(f"""WITH {_M}, f AS (SELECT *, min(tourney_date) OVER (PARTITION BY tourney_id) AS first FROM m)
+SELECT seq, CAST(first + CASE round WHEN 'R64' THEN 1 WHEN 'R32' THEN 2 WHEN 'R16' THEN 3 WHEN 'QF' THEN 4 WHEN 'SF' THEN 5 WHEN 'F' THEN 6 ELSE 0 END AS DATE) AS adjusted FROM f""")
+def adjusted_dates(spark, sf_dir):
+    return matches(spark, sf_dir).select("seq", registry.adjusted_dates(None).alias("adjusted"))
+
+
+@query(f"WITH {_E}, x AS (SELECT DISTINCT seq FROM m WHERE surface = 'Carpet') SELECT player_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(win) AS BIGINT) AS wins FROM e WHERE seq NOT IN (SELECT seq FROM x) GROUP BY player_id")
+def history_without(spark, sf_dir):
+    """Players' records after the matches of one surface have been taken out of the history."""
+    m = matches(spark, sf_dir)
+    e = registry.remove_matches(player_events(m), m.filter("surface = 'Carpet'"), "seq")
+    return e.groupBy("player_id").agg(F.count("*").alias("n"), F.sum("win").cast("long").alias("wins"))
+
+
+@query(f"WITH {_E} SELECT player_id, CAST(count(*) AS BIGINT) AS n FROM e WHERE tourney_date < DATE '1996-01-01' GROUP BY player_id")
+def history_before(spark, sf_dir):
+    """The history cut off at the first order key of a date."""
+    e = player_events(matches(spark, sf_dir))
+    first = F.datediff(F.lit("1996-01-01").cast("date"), F.lit("1900-01-01").cast("date")).cast("long") * 4294967296
+    return registry.before_key(e, first).groupBy("player_id").agg(F.count("*").alias("n"))
+
+
+@query()
+def elo_history(spark, sf_dir):
+    return _rounded(registry.rating_history(rating.rate(matches(spark, sf_dir))), ["pre", "post"])
+
+
+@query("""SELECT o_orderkey AS k, CASE WHEN contains(x, '-') THEN 'hyphen' WHEN length(x) > 5 THEN 'long' WHEN NOT regexp_full_match(x, '[0-9]+') THEN 'letters' END AS problem,
+  CASE o_orderkey % 6 WHEN 0 THEN '4800' WHEN 1 THEN '431' WHEN 2 THEN '433' ELSE regexp_replace(CASE WHEN contains(x, '-') THEN split_part(x, '-', 2) ELSE x END, '[a-zA-Z]', '0', 'g') END AS cleaned
+  FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '1997-' || o_custkey || 'M' WHEN 1 THEN o_custkey || 'AbC' WHEN 2 THEN CAST(o_custkey AS VARCHAR) ELSE '123456' || o_custkey END AS x FROM orders)""")
+def scalar_event_ids(spark, sf_dir):
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    x = F.when(k % 4 == 0, F.concat(F.lit("1997-"), c, F.lit("M"))).when(k % 4 == 1, F.concat(c, F.lit("AbC"))).when(k % 4 == 2, c).otherwise(F.concat(F.lit("123456"), c))
+    name = F.when(k % 6 == 0, "Rio Olympics").when(k % 6 == 1, "Davis Cup WG1 x").when(k % 6 == 2, "davis cup qls").when(k % 6 == 3, "Davis Cup other").otherwise("Open")
+    return _read(spark, sf_dir, "orders").select(k.alias("k"), S.id_problem(x).alias("problem"), S.clean_event_id(x, name).alias("cleaned"))
+
+
+@query("""SELECT p_partkey AS k, split_part(p_name, ' ', 1) AS last, upper(substr(split_part(p_name, ' ', 2), 1, 1)) AS initials, 3.0::DOUBLE AS same,
+  CASE WHEN contains(split_part(p_name, ' ', 1), substr(split_part(p_name, ' ', 1), 1, 3)) AND length(split_part(p_name, ' ', 1)) > 3 THEN 1.5::DOUBLE ELSE 2.0::DOUBLE END AS part FROM part""")
+def scalar_priced_names(spark, sf_dir):
+    """Names as bookmakers write them, made from the parts' names."""
+    a, b = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    priced = F.concat(a, F.lit(" "), F.upper(F.substring(b, 1, 1)), F.lit("."))
+    n = S.priced_name(priced)
+    return _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), n["last"].alias("last"), n["initials"].alias("initials"), S.tie_break(F.concat(b, F.lit(" "), a), priced).alias("same"), S.tie_break(F.concat(F.lit("9 "), a), F.concat(F.substring(a, 1, 3), F.lit(" q"))).alias("part"))
+
+
+@query(f"""WITH {_M}, x AS (SELECT seq, RESULT = 1 AS w, CAST(1 + p1_ace AS DOUBLE) AS a, CAST(1 + p2_ace AS DOUBLE) AS b, CAST(CASE WHEN p1_df > 5 THEN p1_df END AS DOUBLE) AS c, CAST(CASE WHEN p2_df > 5 THEN p2_df END AS DOUBLE) AS d, CAST(nullif(p1_bpFaced, 0) AS DOUBLE) AS e, CAST(nullif(p2_bpFaced, 0) AS DOUBLE) AS f FROM m)
+SELECT seq, CASE WHEN w THEN a ELSE b END AS p1_max_odds, CASE WHEN w THEN b ELSE a END AS p2_max_odds, CASE WHEN w THEN coalesce(c, e) ELSE coalesce(d, f) END AS p1_odds, CASE WHEN w THEN coalesce(d, f) ELSE coalesce(c, e) END AS p2_odds,
+  CASE WHEN c IS NOT NULL AND d IS NOT NULL THEN 'pinnacle' WHEN e IS NOT NULL AND f IS NOT NULL THEN 'bet365' ELSE 'max_only' END AS odds_source FROM x""")
+def scalar_oriented_prices(spark, sf_dir):
+    n = lambda c: F.col(c).cast("double")
+    over = lambda c: F.when(F.col(c) > 5, n(c))
+    some = lambda c: F.nullif(n(c), F.lit(0.0))
+    cols = S.oriented_prices(F.col("RESULT") == 1, (1 + n("p1_ace"), 1 + n("p2_ace")), (over("p1_df"), over("p2_df")), (some("p1_bpFaced"), some("p2_bpFaced")))
+    return matches(spark, sf_dir).select("seq", *[c.alias(k) for k, c in cols.items()])
+
+
+@query(f"""WITH {_BETS}, x AS (SELECT *, odds * probability - 1 AS ev, CASE WHEN won = 1 THEN 10 * (odds - 1) ELSE -10.0 END AS profit FROM b WHERE odds * probability - 1 >= 0.2 + 1e-9)
+SELECT 'flat' AS strategy, CAST(count(*) AS BIGINT) AS bets, CAST(count(*) FILTER (WHERE won = 1) AS BIGINT) AS wins, CAST(count(*) FILTER (WHERE won <> 1) AS BIGINT) AS losses, round(sum(profit), 4) AS profit, round(count(*) * 10.0, 4) AS staked,
+  round(sum(profit) * 100 / (count(*) * 10), 4) AS roi, round(avg(ev), 4) AS edge, round(stddev_samp(ev), 4) AS edge_sd, round(avg(profit / 10), 4) AS realised, round(stddev_samp(profit / 10), 4) AS realised_sd FROM x""")
+def backtest_edges(spark, sf_dir):
+    """Flat stakes on every bet of enough value, with predicted and realised edge."""
+    b = _bets(spark, sf_dir).filter(F.col("ev") >= 0.2 + 1e-9).withColumns({"strategy": F.lit("flat"), "stake": F.lit(10.0), "profit": F.when(F.col("won") == 1, 10 * (F.col("odds") - 1)).otherwise(-10.0)})
+    return _rounded(registry.bet_summary(b), ["profit", "staked", "roi", "edge", "edge_sd", "realised", "realised_sd"], 4)
+
+
+@query()
+def registry_doubtful(spark, sf_dir):
+    """Brands whose parts' names are unlike one another."""
+    return registry.doubtful_variants(_read(spark, sf_dir, "part"), "p_brand", "p_name", tournament_similarity)
