@@ -8,13 +8,15 @@ Candidates are verified by banded alignment: labelled k-mers of both texts are m
 diagonal by more than similarity allows are left out (they would leave too many unmatched), and the longest common
 order is taken. Similarity is its length over that of the union; pairs of similarity or more are links.
 
-A bucket of texts that share an entry is never expanded into its pairs. All are compared with the bucket's first text,
-in the next round with two that aren't matched yet. Buckets that stay contested then hold texts that share much but
-aren't alike; all their texts are sketched again with more and longer entries, which part them, and compared likewise.
-No text leaves a bucket uncompared and no bucket is dropped for its size, but in a family of very many texts that are
-all a little under the similarity, a link between two of them can stay unseen if neither ever leads; the README gives
-the measured recall. Equal texts are one node from the start. Classes are the connected components of the links, named
-by their least id.
+A bucket of texts that share an entry is not expanded into its pairs. One of its texts leads and is compared with all
+that have not led, then several, and so on; texts that are linked already, over whatever others, need no comparison. A
+bucket is done when all that have not led are of one class. After a few such rounds the texts of the pairs still open
+are dealt anew, by their rarest labelled k-mers: texts of similarity or more share one of these (prefix filter), texts
+that only share a frequent passage don't. There the rounds go on until nothing is open, those with the most frequent
+k-mers leading first, as the original of many copies does. So every pair that shares an entry is linked, compared or
+can't be similar; no bucket is dropped or cut for its size. Texts that share rare k-mers, aren't alike and aren't linked
+over others are all compared with one another. Equal texts are one node from the start. Classes are the connected
+components of the links, named by their least id.
 
 Cases: texts of fewer than k words have one k-mer, the whole text. Null texts and texts without words: a class with
 texts that are byte for byte equal; null by itself, each row its own class. Null ids are left out of classes (class
@@ -184,63 +186,100 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) ->
     return both.select("a", "b", "wa", "wb").mapInArrow(verify, out)
 
 
-def _rounds(members: DataFrame, known: DataFrame | None, most: int | None, check) -> tuple[DataFrame, DataFrame]:
-    """Compares some unmatched texts of each bucket with all of its bucket, again and again (most times at most).
+def _rounds(members: DataFrame, known: DataFrame | None, most: int | None, check, similarity: float, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Compares some texts of each bucket with all of its bucket that haven't led, again and again (most times at most).
 
-    The first round takes one text, each later round up to twice as many as the one before: what is left shrinks as the
-    logarithm. members: (bucket, doc_id, class); texts of one class are linked already and not compared. known: (a, b,
-    similar) so far. Returns what is known then, and what is unmatched.
+    The first round takes one text, each later round up to 2**bits times as many as the one before. members: (bucket,
+    doc_id, class, score, size, at); texts of one class are linked already and not compared, the greatest score leads
+    first, and what follows place at of size k-mers bounds how many two texts can share. known: (a, b, similar) so far.
+    Returns what is known then, and the members of pairs that are still open.
     """
     open_, n = members, 0
+    need = similarity / (1 + similarity)
     while True:
-        slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << n)).alias("slot")
-        first = open_.groupBy("bucket", slot).agg(F.min(F.struct("doc_id", "class")).alias("p")).select("bucket", F.col("p.doc_id").alias("p"), F.col("p.class").alias("of"))
-        star = written(first.join(members, "bucket").filter("of != class").select("bucket", "doc_id", F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")), "star")
-        pairs = star.select("a", "b").distinct()
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << min(bits * n, 62))).alias("slot")
+        best = F.min(F.struct((-F.col("score")).alias("score"), "doc_id", "class", "size", "at")).alias("p")
+        first = open_.groupBy("bucket", slot).agg(best).select("bucket", F.col("p.doc_id").alias("p"), F.col("p.class").alias("of"), F.col("p.size").alias("p_size"), F.col("p.at").alias("p_at"))
+        able = F.least(F.col("p_size") - F.col("p_at"), F.col("size") - F.col("at")) >= need * (F.col("p_size") + F.col("size")) - 1e-9
+        star = first.join(open_, "bucket").filter((F.col("of") != F.col("class")) & able)
+        pairs = star.select(F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")).distinct()
         if known is not None:
             pairs = pairs.join(known.hint("merge"), ["a", "b"], "left_anti")
         checked = written(check(pairs), "checked")
         known = checked if known is None else known.union(checked)
-        # of what is open: not similar to one of the firsts, not of their classes (each is of its own)
-        matched = star.join(known.filter("similar").hint("merge"), ["a", "b"], "left_semi").select("bucket", "doc_id")
-        open_ = open_.join(matched, ["bucket", "doc_id"], "left_anti").join(first.select("bucket", F.col("of").alias("class")), ["bucket", "class"], "left_anti")
-        open_ = written(open_.select("bucket", "doc_id", "class"), "open")
+        open_ = open_.join(first.select("bucket", F.col("p").alias("doc_id")).hint("merge"), ["bucket", "doc_id"], "left_anti")
+        if not checked.filter("similar").isEmpty():
+            roots = components(known.filter("similar"), "a", "b", label="so-far").select(F.col("node").alias("doc_id"), "root")
+            open_ = open_.join(roots.hint("merge"), "doc_id", "left").withColumn("class", F.coalesce("root", "class"))
+        open_ = written(_mixed(open_.select(members.columns)), "open")
         n += 1
         if n == most or open_.isEmpty():
             return known, open_
 
 
-def _sharper(texts: DataFrame, contested: DataFrame, k: int, entries: int, ell: int) -> DataFrame:
-    """(bucket, doc_id) of contested texts by longer entries, which texts that aren't alike share more rarely."""
-    rows = texts.join(contested.hint("merge"), "doc_id", "left_semi")
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("sketch", T.ArrayType(T.LongType()))])
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of buckets of more than one class."""
+    mixed = members.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x != y").select("bucket")
+    return members.join(mixed.hint("merge"), "bucket").select(members.columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _rare(texts: DataFrame, k: int, similarity: float) -> DataFrame:
+    """(bucket, doc_id, score, size, at): the rarest labelled k-mers of each text, of which similar texts share one.
+
+    A text of n k-mers shares similarity * n at least with a similar one, so one of its n - similarity * n + 1 first in
+    any order that holds for all texts. Here that of counts, which are kept by 20 bits of a k-mer: what a collision
+    makes look frequent only stands later. K-mers that no other text can have take a place but make no row.
+    """
+    spark = texts.sparkSession
+    slots = np.uint64((1 << 20) - 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [sketch(mix(_labels(w, k) + np.uint64(ell)), entries, ell) for w in b["words"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(out, pa.list_(pa.int64()))], names=schema.names)
+            all_ = [_labels(w, k) & slots for w in b["words"].to_pylist()]
+            slot, n = np.unique(np.concatenate(all_ or [np.zeros(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(n.astype(np.int64))], names=["slot", "n"])
+
+    counted = texts.select("words").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()
+    often = np.ones(1 << 20, np.int64)
+    often[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(often)
+    schema = T.StructType([texts.schema["doc_id"], T.StructField("score", T.DoubleType()), T.StructField("size", T.IntegerType()), T.StructField("skipped", T.IntegerType()), T.StructField("rare", T.ArrayType(T.LongType()))])
 
-    return rows.mapInArrow(run, schema).select("doc_id", F.explode("sketch").alias("bucket"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            score, size, skipped, rare = [], [], [], []
+            for w in b["words"].to_pylist():
+                labels = _labels(w, k)
+                n = shared.value[(labels & slots).astype(np.int64)]
+                first = np.lexsort((labels, n))[: len(n) - int(np.ceil(similarity * len(n) - 1e-9)) + 1]
+                alone = int((n[first] == 1).sum())
+                score.append(float(np.log2(n).mean()))
+                size.append(len(n))
+                skipped.append(alone)
+                rare.append(labels[first[alone:]].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(score, pa.float64()), pa.array(size, pa.int32()), pa.array(skipped, pa.int32()), pa.array(rare, pa.list_(pa.int64()))], names=schema.names)
+
+    rows = texts.select("doc_id", "words").mapInArrow(run, schema).select("doc_id", "score", "size", "skipped", F.posexplode("rare").alias("place", "bucket"))
+    return rows.select("bucket", "doc_id", "score", "size", (F.col("skipped") + F.col("place")).alias("at"))
 
 
 def links(nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, entries: int = 12, ell: int = 3, rounds: int = 2) -> DataFrame:
     """(a, b) verified links between nodes (doc_id, sketch), one per text.
 
-    Buckets that rounds of comparisons leave contested hold many texts that are not alike, such as those that share a
-    frequent passage. All texts of such buckets are sketched again, by twice as many entries of twice the length.
+    Pairs that rounds of comparisons leave open are of buckets of many texts that are not alike, such as those that
+    share a frequent passage. They are dealt by their rare k-mers and compared until nothing is open.
     """
     buckets = nodes.select("doc_id", F.explode("sketch").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = written(buckets.join(shared.hint("merge"), "bucket").withColumn("class", F.col("doc_id")), "members")
+    none = [F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("at")]
+    members = written(buckets.join(shared.hint("merge"), "bucket").select("bucket", "doc_id", F.col("doc_id").alias("class"), *none), "members")
     texts = written(_word_table(docs, members.select("doc_id").distinct(), id_col, text_col).dropDuplicates(["doc_id"]), "words")
     check = lambda pairs: _verified(pairs, texts, k, similarity)
-    known, open_ = _rounds(members, None, rounds, check)
+    known, open_ = _rounds(members, None, rounds, check, similarity, 1)
     if not open_.isEmpty():
-        contested = members.join(open_.select("bucket").distinct(), "bucket", "left_semi").select("doc_id").distinct()
-        so_far = components(known.filter("similar"), "a", "b", label="so-far").select(F.col("node").alias("doc_id"), "root")
-        again = _sharper(texts, contested, k, 2 * entries, 2 * ell).join(so_far, "doc_id", "left").select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("class"))
-        mixed = again.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x != y").select("bucket")
-        known, _ = _rounds(written(again.join(mixed.hint("merge"), "bucket"), "again"), known, rounds, check)
+        left = open_.groupBy("doc_id").agg(F.min("class").alias("class"))
+        rare = _rare(texts.join(left.hint("merge"), "doc_id", "left_semi"), k, similarity).join(left.hint("merge"), "doc_id")
+        known, _ = _rounds(written(_mixed(rare.select(members.columns)), "rare"), known, None, check, similarity, 2)
     return known.filter("similar").select("a", "b")
 
 
