@@ -345,7 +345,7 @@ def backtest_kelly(spark, sf_dir):
 
 @query()
 def backtest_ruin(spark, sf_dir):
-    return backtest.ruin(_bets(spark, sf_dir).filter("ev >= 0.2"), backtest.flat_stake(50.0), runs=50)
+    return backtest.ruin(_bets(spark, sf_dir).filter("ev >= 0.2"), backtest.flat_stake(50.0))
 
 
 @query("""SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(json_extract_string(props, '$.k')) AS BIGINT) AS with_k FROM events GROUP BY 1""")
