@@ -115,7 +115,7 @@ def features_activity(spark, sf_dir):
 
 @query()
 def features_all(spark, sf_dir):
-    """Every family at once (prematch)."""
+    """Every family that features.py has, at once (prematch); the README lists those it lacks."""
     out = feat.features(matches(spark, sf_dir))
     return _rounded(out, [c for c, t in out.dtypes if t == "double"])
 
