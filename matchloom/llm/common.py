@@ -16,6 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
     sc = spark.sparkContext
@@ -25,9 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="matchloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        if sc.applicationId not in _own:
+            _own[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="matchloom-")
+        found = _own[sc.applicationId]
+    return f"{found.rstrip('/')}/matchloom-{sc.applicationId}"
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -40,12 +44,24 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder as Parquet and reads it back: short lineage that survives lost executors."""
+    """Writes df to the shared folder as Parquet and reads it back: short lineage that survives lost executors.
+
+    All such tables of an application lie in one folder named by it. drop() frees one; the rest goes at the interpreter's end.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/matchloom-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._matchloom_path = path
+    return out
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Deletes tables that written() returned, once nothing that is still to run reads them."""
+    for df in tables:
+        if df is not None and (path := getattr(df, "_matchloom_path", None)):
+            _remove(df.sparkSession, path)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

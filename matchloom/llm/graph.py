@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import drop, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -27,19 +27,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u != v").distinct()
 
 
+def _done(edges: DataFrame) -> bool:
+    """Whether edges (greater to lesser node) are stars: no node has two edges down, and none that has one is led to."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up")).filter("down > 1 or (down = 1 and up = 1)").isEmpty()
+
+
 def components(edges: DataFrame, left: str = "u", right: str = "v", label: str = "cc") -> DataFrame:
     """(node, root) for every node of an edge; root is the least node of its component. Nodes: any orderable type.
 
     Null ends and loops: dropped (a node with nothing but loops doesn't appear). Repeated edges count once. No edge: no row.
     """
     e = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u is not null and v is not null and u != v").distinct()
-    e = written(e, label)
-    seen = None
-    while True:
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen or not now[0]:
-            break
-        seen = now
-        e = written(_star(_star(e, True), False), label)
-    # at the fixed point every edge leads from a node to its root
+    e = written(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
+    while not _done(e):
+        before, e = e, written(_star(_star(e, True), False), label)
+        drop(before)
+    # every edge leads from a node to its root
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v"), F.col("v"))).distinct()
