@@ -1,28 +1,32 @@
 """Language-model scoring by a weighted backoff automaton.
 
-The model is a bigram model with Dirichlet-smoothed backoff, in arcs: a state per training word (and one for a text's
-begin), arcs for the bigrams seen, and a failure arc from each state to the root, whose arcs are single words:
+A state is a context of up to order - 1 words that training holds (the begin of a text counts as a word), the root is
+the empty one. An arc reads a word that training saw after the context and leads to the longest state that the read
+words end in; a failure arc leads to the state one word shorter. Weights are those of n-grams smoothed by Dirichlet
+backoff, mu[m] being the weight of the shorter context at contexts of m words:
 
-    root:  p(w)   = (c(w) + 0.5) / (N + 0.5 (V + 1))
-    arc:   p(w|h) = (c(h w) + mu p(w)) / (c(h) + mu)          failure of h: mu / (c(h) + mu)
+    root:   p(w)     = (c(w) + 0.5) / (N + 0.5 (V + 1))
+    arc:    p(w|h v) = (c(h v w) + mu p(w|v)) / (c(h v) + mu)         failure of h v: mu / (c(h v) + mu)
 
-which sums to one over the V training words and one unknown word. c(h) counts h as a context (an end follows every last
-word); a text starts at the begin state. One traversal from left to right carries the state, follows failure arcs where
-no arc fits, and adds up log10 weights.
+which sums to one over the V training words and one unknown word. c(h v) counts h v as a context (an end follows every
+last word). One traversal from left to right carries the state, follows failure arcs, several in a row if need be, until
+an arc fits, and adds up log10 weights.
 
 The automaton of a large corpus fits no worker and is never broadcast. Texts stream in blocks of about block_words
-words; a block's distinct single words and bigrams, with the block's training counts, go as sorted arrays of 64-bit
+words; a block's distinct n-grams of each length, with the block's training counts, go as sorted arrays of 64-bit
 hashes to shards, which add up the counts of all blocks and answer each block with the totals of its own n-grams. Each
 block then builds the part of the automaton that its texts can reach, and its texts traverse it in lock-step lanes.
-Nothing is sampled, pruned or capped, and hot words cost a shard one entry per block. What is shuffled follows the
-corpus: eight bytes per distinct n-gram of a block, twice fewer for answers. Order 2 is what the disk budget holds.
+Nothing is sampled, pruned or capped, and a hot word costs a shard one entry per block. Shards are ranges of hashes, one
+per shard_bytes of text, so that a shard stays as large as it is however much text there is; a slice of a block without
+n-grams of a shard makes no row, so that rows never outnumber n-grams.
 
 Blocks are named by their content. A block is read twice; if its input came in another order the second time, its
 answers are missing and the job fails rather than score wrongly: give a written table, not an unordered shuffle.
 
 Cases: null or empty text: one token, the end. Nothing to learn from: N = 0, every token unknown, still finite scores.
 Null ids: learned from and scored like others (never held out). Repeated rows: each counts and is scored. Very long
-texts: lanes of lane_tokens words, each entered in the state that its preceding word gives. Empty table: no rows.
+texts: lanes of lane_tokens words, each entered in the state that its preceding words give. Empty table: no rows. Other
+columns of docs stay out of the result.
 """
 
 from __future__ import annotations
@@ -40,7 +44,9 @@ from .common import small_batches, written
 from .tokens import Words, arrow_bytes, mix, space_mask
 
 END, BEGIN = np.uint64(0x0E4D0E4D0E4D0E4D), np.uint64(0x0B3610B3610B3610)
-MU = 50.0
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Weight of the shorter context, at contexts of one word, of two, and so on; their number tells the order.
+MU = (50.0, 5.0)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -53,31 +59,55 @@ def _unpack(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, {0: np.uint8, 1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[len(raw) // n if n else 0]).astype(np.int64)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted hashes as differences, byte by byte of the same weight: the leading bytes are zeros, which shuffles compress."""
+    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _distinct(s: np.ndarray) -> np.ndarray:
+    """Of sorted values, one of each."""
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
 class Block:
-    """Tokens of some texts: hashes with an end each, whether each text trains, and the n-grams as sorted hashes."""
+    """Tokens of some texts: hashes with an end each, sizes, whether each text trains, and a name made of them."""
 
     def __init__(self, words: np.ndarray, first: np.ndarray, train: np.ndarray):
-        n = len(first) - 1
-        sizes = np.diff(first)
+        n, sizes = len(first) - 1, np.diff(first)
         self.first = first + np.arange(n + 1)
-        tokens = np.full(int(self.first[-1]), END, np.uint64)
-        tokens[np.arange(len(words)) + np.repeat(np.arange(n), sizes)] = words
-        self.sizes, self.train, self.tokens = sizes + 1, train, tokens
-        trains = np.repeat(train, self.sizes)
-        before = np.empty_like(tokens)
-        before[1:] = tokens[:-1]
-        before[self.first[:-1]] = BEGIN
-        self.pairs = mix(before * np.uint64(0x9E3779B97F4A7C15) + tokens)
-        self.singles, self.single_counts = _counted(tokens, trains)
-        self.doubles, self.double_counts = _counted(self.pairs, trains)
-        self.name = hashlib.sha256(tokens.tobytes() + first.tobytes() + train.tobytes()).hexdigest()[:32]
-
-
-def _counted(x: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values, sorted, and how many of each train."""
-    s, t = np.sort(x), np.sort(x[trains])
-    keys = s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
-    return keys, np.searchsorted(t, keys, "right") - np.searchsorted(t, keys, "left")
+        self.tokens = np.full(int(self.first[-1]), END, np.uint64)
+        self.tokens[np.arange(len(words)) + np.repeat(np.arange(n), sizes)] = words
+        self.sizes, self.train = sizes + 1, train
+        self.name = hashlib.sha256(self.tokens.tobytes() + first.tobytes() + train.tobytes()).hexdigest()[:32]
+
+    def grams(self, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Of each length: distinct n-grams as sorted hashes, and how many of each train. Longer ones begin with a begin at most."""
+        trains = np.repeat(self.train, self.sizes)
+        place = np.arange(len(self.tokens)) - np.repeat(self.first[:-1], self.sizes)
+        now = self.tokens
+        for m in range(1, order + 1):
+            if m > 1:
+                now = _longer(now, self.tokens, self.first[:-1])
+            whole = place >= m - 2
+            keys = _distinct(np.sort(now[whole]))
+            t = np.sort(now[whole & trains])
+            yield m, keys, np.searchsorted(t, keys, "right") - np.searchsorted(t, keys, "left")
+
+
+def _longer(shorter: np.ndarray, tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams that end at each token, from those one word shorter that end at the token before."""
+    before = np.empty_like(tokens)
+    before[1:] = shorter[:-1]
+    before[begins] = BEGIN
+    return _joined(before, tokens)
+
+
+def _joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(context * _STEP + word)
 
 
 def _shard_edges(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -98,7 +128,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[tup
 
     for b in batches:
         words, _, _, first = split(*arrow_bytes(b["__text"]))
-        held.append((b.drop_columns(["__text"]) if hasattr(b, "drop_columns") else b, words, first))
+        held.append((b.drop_columns(["__text"]), words, first))
         size += len(words) + b.num_rows
         if size >= block_words:
             yield close()
@@ -111,42 +141,54 @@ _REQUEST = "block string, shard int, kind int, keys binary, counts binary"
 _ANSWER = "block string, shard int, kind int, counts binary, n_tokens long, n_types long"
 
 
-def _requests(rows: DataFrame, shards: int, block_words: int) -> DataFrame:
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [x.strip().split(" ") for x in schema.split(",")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows) if rows else [[]] * len(fields), fields)], names=[n for n, _ in fields])
+
+
+def _requests(rows: DataFrame, shards: int, block_words: int, order: int) -> DataFrame:
+    """kind: the n-grams' length."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, block in _blocks(batches, block_words):
-            out = []
-            for kind, keys, counts in ((1, block.singles, block.single_counts), (2, block.doubles, block.double_counts)):
+            for m, keys, counts in block.grams(order):
                 edges = _shard_edges(keys, shards)
-                out += [(block.name, i, kind, keys[a:b].tobytes(), _pack(counts[a:b])) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "shard", "kind", "keys", "counts"])
+                yield _batch([(block.name, i, m, _pack_keys(keys[a:b]), _pack(counts[a:b])) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b], _REQUEST)
 
     return rows.mapInArrow(run, _REQUEST)
 
 
-def _answers(requests: DataFrame) -> DataFrame:
-    """Totals for each request, in its order of keys; the first request of a shard and kind also tells the shard's sums."""
-    ranged = requests.repartition("shard", "kind").sortWithinPartitions("shard", "kind", "block")
+def _answers(requests: DataFrame, tasks: int) -> DataFrame:
+    """Totals for each block's request, in its order of keys; the first of a shard's single words also tells the shard's sums."""
+    ranged = requests.repartition(tasks, "shard", "kind").sortWithinPartitions("shard", "kind", "block")
 
     def answer(held: list[tuple[str, int, int, bytes, bytes]]) -> pa.RecordBatch:
-        keys = [np.frombuffer(k, np.uint64) for _, _, _, k, _ in held]
-        counts = [_unpack(c, len(k)) for k, (_, _, _, _, c) in zip(keys, held)]
-        every, weight = np.concatenate(keys), np.concatenate(counts)
+        keys = [_unpack_keys(k) for _, _, _, k, _ in held]
+        every, weight = np.concatenate(keys), np.concatenate([_unpack(c, len(k)) for k, (_, _, _, _, c) in zip(keys, held)])
+        sizes = [len(k) for k in keys]
+        del keys
         order = np.argsort(every)
         every = every[order]
-        begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        total, every = np.add.reduceat(weight[order], begin), every[begin]
+        begin = np.concatenate([[True], every[1:] != every[:-1]])
+        total = np.add.reduceat(weight[order], np.flatnonzero(begin))
+        each = np.empty(len(every), np.int64)
+        each[order] = total[np.cumsum(begin) - 1]
         sums, types = int(total.sum()), int((total > 0).sum())
-        out = [(b, s, kind, _pack(total[np.searchsorted(every, k)]), sums if not i and kind == 1 else 0, types if not i and kind == 1 else 0) for i, (k, (b, s, kind, _, _)) in enumerate(zip(keys, held))]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()))], names=["block", "shard", "kind", "counts", "n_tokens", "n_types"])
+        out, at, last = [], 0, None
+        for i, (n, (block, shard, kind, _, _)) in enumerate(zip(sizes, held)):
+            if block != last:  # equal blocks (repeated texts) count each, and are answered once
+                out.append((block, shard, kind, _pack(each[at : at + n]), sums if not i and kind == 1 else 0, types if not i and kind == 1 else 0))
+            at, last = at + n, block
+        return _batch(out, _ANSWER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = [], set()
+        held = []
         for b in batches:
             for row in zip(*(b[c].to_pylist() for c in ("block", "shard", "kind", "keys", "counts"))):
                 if held and row[1:3] != held[0][1:3]:
                     yield answer(held)
-                    held, seen = [], set()
-                # equal blocks (repeated texts) are asked for once each and answered alike
+                    held = []
                 held.append(row)
         if held:
             yield answer(held)
@@ -154,61 +196,126 @@ def _answers(requests: DataFrame) -> DataFrame:
     return ranged.mapInArrow(run, _ANSWER)
 
 
+class Arcs:
+    """The n-grams of one length in some texts: each an arc from a state, by a word, and itself a state of its length.
+
+    states: numbers of the contexts, words: those of the last words, per token; at: the tokens at which such an n-gram ends.
+    number: of the arc that ends at each token; places: a token at which each arc ends.
+    """
+
+    def __init__(self, states: np.ndarray, words: np.ndarray, at: np.ndarray, n_words: int):
+        self.n_words = n_words
+        self.keys, first, inverse = np.unique(states[at] * n_words + words[at], return_index=True, return_inverse=True)
+        self.state, self.word, self.places = self.keys // n_words, self.keys % n_words, at[first]
+        self.number = np.zeros(len(words), np.int64)
+        self.number[at] = inverse
+
+    def find(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.keys, state * self.n_words + word)
+
+
 class Automaton:
-    """States are numbered words of a block, then the begin, then the root; arcs are sorted by state and word."""
-
-    def __init__(self, single_counts: np.ndarray, arcs: np.ndarray, arc_counts: np.ndarray, n_docs: int, n_tokens: int, n_types: int, mu: float):
-        n = len(single_counts)
-        self.words, self.begin, self.root = n, n, n + 1
-        p = (single_counts + 0.5) / (n_tokens + 0.5 * (n_types + 1))
-        context = np.concatenate([single_counts, [n_docs]]).astype(float)
-        self.single = np.log10(p)
-        self.failure = np.concatenate([np.log10(mu / (context + mu)), [0.0]])
-        seen = arc_counts > 0
-        self.arcs = arcs[seen]
-        state, word = self.arcs // n, self.arcs % n
-        self.weights = np.log10((arc_counts[seen] + mu * p[word]) / (context[state] + mu))
+    """States of m words: for m = 1 numbered words and then the begin, for larger m the arcs of m words; m = 0 is the root.
+
+    counts[m]: training counts of the n-grams of m + 1 words, in the order of the words or of the arcs.
+    """
+
+    def __init__(self, arcs: list[Arcs], counts: list[np.ndarray], n_docs: int, n_tokens: int, n_types: int, mu: tuple[float, ...]):
+        self.arcs, self.order, self.begin = arcs, len(counts), len(counts[0])
+        p = (counts[0] + 0.5) / (n_tokens + 0.5 * (n_types + 1))
+        self.single, self.seen = np.log10(p), [c > 0 for c in counts]
+        context = np.concatenate([counts[0], [n_docs]]).astype(float)
+        # weight[m], failure[m]: of arcs and of the failure arc from states of m + 1 words; shorter[m]: where the latter leads
+        self.weight, self.failure, self.shorter = [], [], [np.zeros(self.begin + 1, np.int64)]
+        for m, a in enumerate(arcs):
+            without_first = a.word if m == 0 else arcs[m - 1].number[a.places]
+            self.failure.append(np.log10(mu[m] / (context + mu[m])))
+            p = (counts[m + 1] + mu[m] * p[without_first]) / (context[a.state] + mu[m])
+            self.weight.append(np.log10(p))
+            self.shorter.append(without_first)
+            context = counts[m + 1].astype(float)
+
+    def step(self, length: np.ndarray, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log10 weights of reading a word in a state of so many words, and the states' lengths and numbers then."""
+        weight, length, state = np.zeros(len(word)), length.copy(), state.copy()
+        after, to = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+        open_ = np.arange(len(word))
+        for m in range(self.order - 1, 0, -1):
+            at = open_[length[open_] == m]
+            if not len(at):
+                continue
+            arc = self.arcs[m - 1].find(state[at], word[at])
+            fits = self.seen[m][arc]
+            yes, no, arc = at[fits], at[~fits], arc[fits]
+            weight[yes] += self.weight[m - 1][arc]
+            full = m + 1 == self.order
+            after[yes], to[yes] = (m, self.shorter[m][arc]) if full else (m + 1, arc)
+            weight[no] += self.failure[m - 1][state[no]]
+            length[no], state[no] = m - 1, self.shorter[m - 1][state[no]]
+            open_ = open_[length[open_] < m]
+        weight[open_] += self.single[word[open_]]
         # a word that training never saw leads to the root
-        self.after = np.where(single_counts > 0, np.arange(n), self.root)
-
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log10 weights of reading a word in a state, and the states then."""
-        key = state * self.words + word
-        at = np.minimum(np.searchsorted(self.arcs, key), max(0, len(self.arcs) - 1))
-        fits = (self.arcs[at] == key) if len(self.arcs) else np.zeros(len(key), bool)
-        fits &= state != self.root
-        weight = np.where(fits, self.weights[at] if len(self.arcs) else 0.0, self.failure[state] + self.single[word])
-        return weight, self.after[word]
-
-    def traverse(self, tokens: np.ndarray, first: np.ndarray, lane_tokens: int = 4096) -> np.ndarray:
+        after[open_], to[open_] = np.where(self.seen[0][word[open_]], 1, 0), word[open_]
+        return weight, after, to
+
+    def entered(self, tokens: np.ndarray, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states before tokens at these positions, place words into their texts: the longest that training holds."""
+        length, state = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        for m in range(1, self.order):
+            if m == 1:
+                number = np.where(place > 0, tokens[at - 1], self.begin)
+                there = (place == 0) | self.seen[0][np.minimum(number, self.begin - 1)]
+            else:
+                number = np.where(place >= m - 1, self.arcs[m - 2].number[at - 1], 0)
+                there = (place >= m - 1) & self.seen[m - 1][number]
+            length, state = np.where(there, m, length), np.where(there, number, state)
+        return length, state
+
+    def traverse(self, tokens: np.ndarray, first: np.ndarray, lane_tokens: int = 1024) -> np.ndarray:
         """The log10 probability of each text, all texts' lanes reading a token at a time."""
         sizes = np.diff(first)
         lanes = -(-sizes // lane_tokens)
         doc = np.repeat(np.arange(len(sizes)), lanes)
         part = np.arange(len(doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         start = first[:-1][doc] + part * lane_tokens
-        length = np.minimum(first[1:][doc] - start, lane_tokens)
-        order = np.argsort(-length, kind="stable")
-        doc, part, start, length = doc[order], part[order], start[order], length[order]
-        state = np.where(part == 0, self.begin, self.after[tokens[start - 1]])
+        size = np.minimum(first[1:][doc] - start, lane_tokens)
+        by = np.argsort(-size, kind="stable")
+        doc, part, start, size = doc[by], part[by], start[by], size[by]
+        length, state = self.entered(tokens, start, part * lane_tokens)
         total = np.zeros(len(doc))
-        for j in range(int(length[0]) if len(length) else 0):
-            n = int(np.searchsorted(-length, -j, "left"))  # lanes longer than j
-            weight, state[:n] = self.step(state[:n], tokens[start[:n] + j])
+        for j in range(int(size[0]) if len(size) else 0):
+            n = int(np.searchsorted(-size, -j, "left"))  # lanes longer than j
+            weight, length, state = self.step(length[:n], state[:n], tokens[start[:n] + j])
             total[:n] += weight
         return np.bincount(doc, weights=total, minlength=len(sizes))
 
 
-def score(docs: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: str = "text", mu: float = MU, block_words: int = 1 << 21, shards: int | None = None) -> DataFrame:
-    """(doc_id, trained boolean, n_tokens, n_known, train_tokens long, base_score, score double) per row of docs."""
-    spark = docs.sparkSession
+def _arcs(tokens: np.ndarray, first: np.ndarray, n_words: int, order: int) -> list[Arcs]:
+    """The arcs of each length in some texts, whose words are numbers; number[i]: that of the arc that ends at token i."""
+    place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[first[:-1]] = n_words  # the begin
+    out = []
+    for m in range(2, order + 1):
+        out.append(Arcs(before, tokens, np.flatnonzero(place >= m - 2), n_words))
+        before = np.concatenate([[0], out[-1].number[:-1]])
+    return out
+
+
+def score(docs: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: str = "text", mu: tuple[float, ...] = MU, block_words: int = 1 << 21, shard_bytes: int = 24 << 20) -> DataFrame:
+    """(doc_id, trained boolean, n_tokens, n_known, train_tokens long, base_score, score double) per row of docs.
+
+    The order is one more than there are values of mu.
+    """
+    spark, order = docs.sparkSession, len(mu) + 1
     small_batches(spark, 2000)
-    shards = shards or min(4096, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"), F.coalesce(train, F.lit(True)).alias("__train"))
-    answers = written(_answers(_requests(rows, shards, block_words)), "answers")
+    n_bytes, n_docs = rows.agg(F.coalesce(F.sum(F.octet_length("__text").cast("long")), F.lit(0)), F.count_if(F.col("__train"))).first()
+    shards = max(1, -(-n_bytes // shard_bytes))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
+    answers = written(_answers(_requests(rows, shards, block_words, order), tasks), "answers")
     n_tokens, n_types = answers.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))).first()
-    n_docs = rows.filter("__train").count()
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, block in _blocks(batches, block_words):
@@ -216,60 +323,63 @@ def score(docs: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: s
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, pa.schema([("doc_id", ids.type)])) as w:
                 w.write_batch(pa.RecordBatch.from_arrays([ids], names=["doc_id"]))
-            local = np.searchsorted(block.singles, block.tokens).astype(np.uint32)
-            blobs = [sink.getvalue().to_pybytes(), block.sizes.astype(np.int64).tobytes() + block.train.astype(np.uint8).tobytes(), block.singles.tobytes(), local.tobytes()]
-            # kinds 11 to 14 sort after the answers' 1 and 2
-            yield pa.RecordBatch.from_arrays([pa.array([block.name] * 4), pa.array([0] * 4, pa.int32()), pa.array([11, 12, 13, 14], pa.int32()), pa.array(blobs, pa.binary()), pa.array([len(block.doubles)] * 4, pa.int64())], names=["block", "shard", "kind", "data", "n"])
-
-    asked = rows.mapInArrow(prepared, "block string, shard int, kind int, data binary, n long")
-    answered = answers.select("block", "shard", "kind", F.col("counts").alias("data"), F.lit(0).cast("long").alias("n")).distinct()
-    both = asked.union(answered).repartition("block").sortWithinPartitions("block", "kind", "shard")
+            singles = _distinct(np.sort(block.tokens))
+            local = np.searchsorted(singles, block.tokens).astype(np.uint32)
+            # kinds from 101 on sort after the answers'
+            blobs = [sink.getvalue().to_pybytes(), block.sizes.astype(np.int64).tobytes() + block.train.astype(np.uint8).tobytes(), _pack_keys(singles), np.ascontiguousarray(local.view(np.uint8).reshape(-1, 4).T).tobytes()]
+            yield _batch([(block.name, 0, 101 + i, x) for i, x in enumerate(blobs)], "block string, shard int, kind int, data binary")
+
+    asked = rows.mapInArrow(prepared, "block string, shard int, kind int, data binary")
+    both = asked.union(answers.select("block", "shard", "kind", F.col("counts").alias("data"))).repartition(tasks, "block").sortWithinPartitions("block", "kind", "shard")
     schema = T.StructType([rows.schema["doc_id"], T.StructField("trained", T.BooleanType()), *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")], T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
     def scored(ids: bytes, sizes: bytes, singles: bytes, local: bytes, answer: dict) -> pa.RecordBatch:
         doc_ids = pa.ipc.open_stream(ids).read_all()["doc_id"].combine_chunks()
         n = len(doc_ids)
         size, train_ = np.frombuffer(sizes[: 8 * n], np.int64), np.frombuffer(sizes[8 * n :], np.uint8).astype(bool)
-        keys, tokens = np.frombuffer(singles, np.uint64), np.frombuffer(local, np.uint32).astype(np.int64)
+        words = _unpack_keys(singles)
+        tokens = np.ascontiguousarray(np.frombuffer(local, np.uint8).reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64)
         first = np.concatenate([[0], np.cumsum(size)])
-        before = np.empty_like(tokens)
-        before[1:] = tokens[:-1]
-        before[first[:-1]] = len(keys)
-        context = np.concatenate([keys, [BEGIN]])
-        arcs = np.sort(before * len(keys) + tokens)
-        arcs = arcs[np.concatenate([[True], arcs[1:] != arcs[:-1]])]
-        pair = mix(context[arcs // len(keys)] * np.uint64(0x9E3779B97F4A7C15) + keys[arcs % len(keys)])
-        sorted_pair = np.sort(pair)
-        counts = []
-        for kind_, held in ((1, keys), (2, sorted_pair)):
-            edges, out = _shard_edges(held, shards), []
+        arcs = _arcs(tokens, first, len(words), order)
+        counts, hashes = [], np.concatenate([words, [BEGIN]])
+        for m in range(1, order + 1):
+            if m > 1:
+                hashes = _joined(hashes[arcs[m - 2].state], words[arcs[m - 2].word])
+            own = words if m == 1 else hashes
+            if not len(own):
+                counts.append(np.zeros(0, np.int64))
+                continue
+            by = np.argsort(own)
+            begin = np.concatenate([[True], own[by][1:] != own[by][:-1]])
+            edges, got = _shard_edges(own[by][begin], shards), []
             for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                 if a < b:
-                    if (i, kind_) not in answer:
+                    if (i, m) not in answer:
                         raise ValueError("texts came in another order when read again; give a written table")
-                    out.append(_unpack(answer[i, kind_], int(b - a)))
-            counts.append(np.concatenate(out))
-        arc_counts = counts[1][np.searchsorted(sorted_pair, pair)]
-        m = Automaton(counts[0], arcs, arc_counts, n_docs, n_tokens, n_types, mu)
+                    got.append(_unpack(answer[i, m], int(b - a)))
+            total = np.empty(len(own), np.int64)
+            total[by] = np.concatenate(got)[np.cumsum(begin) - 1]
+            counts.append(total)
+        a = Automaton(arcs, counts, n_docs, n_tokens, n_types, mu)
         owner = np.repeat(np.arange(n), size)
-        base = np.bincount(owner, weights=m.single[tokens], minlength=n)
-        known = np.bincount(owner, weights=(counts[0] > 0)[tokens], minlength=n).astype(np.int64)
-        return pa.RecordBatch.from_arrays([doc_ids, pa.array(train_), pa.array(size), pa.array(known), pa.array(np.full(n, n_tokens, np.int64)), pa.array(base), pa.array(m.traverse(tokens, first))], names=schema.names)
+        base = np.bincount(owner, weights=a.single[tokens], minlength=n)
+        known = np.bincount(owner, weights=a.seen[0][tokens], minlength=n).astype(np.int64)
+        return pa.RecordBatch.from_arrays([doc_ids, pa.array(train_), pa.array(size), pa.array(known), pa.array(np.full(n, n_tokens, np.int64)), pa.array(base), pa.array(a.traverse(tokens, first))], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, answer, own = None, {}, {}
         for b in batches:
-            for block, shard, kind_, data in zip(*(b[c].to_pylist() for c in ("block", "shard", "kind", "data"))):
+            for block, shard, kind, data in zip(*(b[c].to_pylist() for c in ("block", "shard", "kind", "data"))):
                 if block != name:
                     name, answer, own = block, {}, {}
-                if kind_ < 10:
-                    answer[shard, kind_] = data
+                if kind < 100:
+                    answer[shard, kind] = data
                     continue
-                own.setdefault(kind_, []).append(data)
-                if kind_ == 14:
-                    # equal blocks differ only in their ids, and come in the same order for each kind
-                    i = len(own[14]) - 1
-                    yield scored(own[11][i], own[12][i], own[13][i], data, answer)
-                    own[14][i] = b""
+                own.setdefault(kind, []).append(data)
+                if kind == 104:
+                    # equal blocks differ only in their ids
+                    i = len(own[104]) - 1
+                    yield scored(own[101][i], own[102][i], own[103][i], data, answer)
+                    own[104][i] = b""
 
     return both.select("block", "shard", "kind", "data").mapInArrow(run, schema)
