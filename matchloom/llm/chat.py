@@ -3,15 +3,20 @@
 A template is any function from a list of (role, text) turns to a string. It is called on successive prefixes of a
 conversation; what a longer prefix adds to the output of the shorter one is the new turn's span. If the shorter output
 isn't a prefix of the longer one, the template rewrites history: the turn is flagged, and its span begins where the
-two outputs part. Turns stream sorted by conversation, so memory holds a bounded window of turns, however long the
-conversation is: after 2 * context turns the prefix restarts at the last context turns, which is exact for templates
-whose output for a turn depends on no more turns than that.
+two outputs part. Prefixes are whole, so a conversation costs the square of its turns.
+
+Opt-in: bounded(context) declares that a template's output for a turn depends on no more than so many turns before it,
+so that prefixes can restart at the last context turns and memory and time stay linear, however long a conversation is. The
+declaration is tested at each restart: if what the template makes of the last context turns alone isn't what these turns
+had added, that conversation goes on with whole prefixes. The production template, which marks each turn by itself, is so
+declared; a rewrite that reaches back further than context turns is found with whole prefixes only.
 
 Where the text itself begins and ends inside its span is found by a second black-box call in which the turn's text is
 a marker; a template that drops or alters the text gives no content span.
 
 Cases: null text or role: empty. Ties of a turn number: ordered by role, then text; repeated rows are turns of their
-own. Null conversation id: one conversation. Empty table: no rows. Other columns stay out of the result.
+own. Null conversation id: one conversation. Empty table: no rows. Other columns stay out of the result. A
+conversation's turns are rendered by one task, in a stream: what a turn adds depends on those before.
 """
 
 from __future__ import annotations
@@ -42,6 +47,17 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], text, flags=re.S)
 
 
+def bounded(context: int) -> Callable[[Template], Template]:
+    """Declares how many turns before a turn a template's output for it depends on."""
+
+    def put(template: Template) -> Template:
+        template.context = context
+        return template
+
+    return put
+
+
+@bounded(64)
 def marked(turns: list[tuple[str, str]]) -> str:
     """The production template: marked turns, control strings inside texts escaped."""
     return "".join(f"{START}{escape_role(role)}\n{escape(text)}{END}\n" for role, text in turns)
@@ -66,16 +82,26 @@ def _common(a: str, b: str) -> int:
 class Renderer:
     """Feeds one conversation's turns to a template and tells each turn's part of the output."""
 
-    def __init__(self, template: Template, context: int = 16):
+    def __init__(self, template: Template, context: int | None = None):
         self.template, self.context = template, context
         self.turns: list[tuple[str, str]] = []
+        self.added: list[int] = []  # characters that each of these turns added
         self.output = template([])
 
+    def _restart(self) -> None:
+        """Only the last context turns stay, if the template makes of them what they had added."""
+        turns = self.turns[-self.context :]
+        output = self.template(turns)
+        n = sum(self.added[-self.context :])
+        if n and output.endswith(self.output[-n:]) and len(output) - n == len(self.template([])):
+            self.turns, self.added, self.output = turns, self.added[-self.context :], output
+        else:
+            self.context = None
+
     def add(self, role: str, text: str) -> tuple[str, int, int, bool]:
         """The new part of the output, where the text's form lies in it (-1, -1: nowhere), whether history was rewritten."""
-        if len(self.turns) >= 2 * self.context:
-            self.turns = self.turns[-self.context :]
-            self.output = self.template(self.turns)
+        if self.context is not None and len(self.turns) >= 2 * self.context:
+            self._restart()
         now = self.template([*self.turns, (role, text)])
         at = _common(self.output, now)
         mark = _MARK
@@ -89,16 +115,21 @@ class Renderer:
             if before >= at and now[:before] == probe[:before] and (not after or now[-after:] == probe[-after:]) and len(now) >= before + after:
                 begin, end = before - at, len(now) - after - at
         self.turns.append((role, text))
+        self.added.append(len(now) - at)
         self.output = now
+        if rewrites:
+            self.context = None
         return now[at:], begin, end, rewrites
 
 
 _PIECES = "conv_id string, position long, role string, piece string, begin long, content_begin long, content_end long, trained boolean, rewrites boolean"
 
 
-def render(turns: DataFrame, template: Template = marked, *, context: int = 16, trained_roles: tuple[str, ...] = ("assistant",), id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def render(turns: DataFrame, template: Template = marked, *, trained_roles: tuple[str, ...] = ("assistant",), id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per turn, in order within its conversation and partition: its output piece, the piece's offset in the
-    conversation's output, the text's offsets in the piece, and whether the loss mask covers the text."""
+    conversation's output, the text's offsets in the piece, and whether the loss mask covers the text. Prefixes are whole
+    unless the template is declared bounded()."""
+    context = getattr(template, "context", None)
     parts = turns.select(F.col(id_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = parts.schema["conv_id"].dataType.simpleString()
     # ids pass pandas as strings: a null among integers would make floats of them
