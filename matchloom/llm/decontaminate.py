@@ -9,8 +9,9 @@ Words that no test phrase holds can't lie in an occurrence. So the index holds a
 at least as long as the shortest phrase, in full, each closed by an end symbol; the other words are only counted. This
 leaves every occurrence in, whatever the data.
 
-Test phrases are broadcast in blocks of at most block_bytes of text, each searched over all texts by a pass of its own
-that adds to the spans so far, so that no size of the test set is too large for a worker. Nothing is shuffled.
+Test phrases come in blocks of about block_bytes of text, one at a time: a block is read, broadcast and searched over
+all texts by a pass of its own, which adds to the spans so far and is written before the next block is read and the
+block is let go. So driver and workers hold one block, however large the test set is. Nothing is shuffled.
 
 Cases: null or empty text: no words, no hits. Items without words never occur; an item of fewer words than the window
 is one window. Null item ids: the id "null". Repeated items: their id counts once. Repeated rows: each searched. Empty
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import drop, small_batches, written
 from .tokens import Lookup, Words, alnum_mask, arrow_bytes
 
 SAMPLE = 8
@@ -207,7 +208,6 @@ def scan(docs: DataFrame, items: DataFrame, *, window: int = 10, text_col: str =
     state = [T.StructField("n_words", T.IntegerType()), T.StructField("spans", T._parse_datatype_string(_SPANS)), T.StructField("items", T.ArrayType(T.StringType()))]
     out_schema = T.StructType([*held, *state])
     df = docs.withColumns({"n_words": F.lit(0).cast("int"), "spans": F.array().cast(_SPANS), "items": F.array().cast("array<string>")})
-    blocks = [spark.sparkContext.broadcast(Phrases(b, window)) for b in _blocks(items, item_id, item_text, block_bytes)] or [spark.sparkContext.broadcast(Phrases([], window))]
 
     def passes(phrases):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,8 +225,17 @@ def scan(docs: DataFrame, items: DataFrame, *, window: int = 10, text_col: str =
 
         return run
 
-    for b in blocks:
-        df = df.mapInArrow(passes(b), out_schema)
+    done = None
+    blocks = _blocks(items, item_id, item_text, block_bytes)
+    now = next(blocks, [])
+    while now is not None:
+        phrases = spark.sparkContext.broadcast(Phrases(now, window))
+        df, now = df.mapInArrow(passes(phrases), out_schema), next(blocks, None)
+        if now is not None:
+            df = written(df, "searched")
+            drop(done)
+            phrases.destroy()
+            done = df
     if not cut:
         return df
 
