@@ -5,13 +5,15 @@ the probabilities of the earlier categories. In training those are out-of-fold p
 inputs as uncertain as it will meet when scoring.
 
 Training takes a bounded sample of labelled rows, sample_rows (documented parameter): half of them positive in the last
-category if there are as many, chosen by a hash of the id. Scoring goes over all texts in one narrow pass; what is
-broadcast is the model, of at most max_terms words.
+category if there are as many, chosen by a hash of the id. The sample is written once. Its words are counted per
+category by a partial aggregate, and the max_terms words that tell most come to the driver, with a bit per sampled
+row and such word; so what the driver holds is bounded by these two parameters, however long the texts are. Scoring goes
+over all texts in one narrow pass; what is broadcast is the model, of at most max_terms words.
 
 Cases: null or empty text: no words, the intercepts' probabilities. Null labels: not toxic. Repeated ids in labels: the
 highest label counts; repeated documents train once and are each scored. Empty labels or one class only: a constant
 model that finds nothing toxic. Very long texts: each word counts once. Columns of docs pass through and clashing
-ones are replaced.
+ones (p_..., is_toxic) are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import drop, small_batches, written
 from .tokens import Lookup, Words, alnum_mask, arrow_bytes
 
 #: Words that tell which kind of abuse a toxic text holds; weak labels of the first two categories.
@@ -72,31 +74,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _chain(sets: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, categories: list[str], max_terms: int, least_score: float, l2: float) -> Chain:
-    n = len(sets)
-    hashes = np.concatenate(sets) if n else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(n), [len(s) for s in sets]) if n else np.zeros(0, np.int64)
-    vocabulary, term = np.unique(hashes, return_inverse=True)
-    # words whose presence tells one category's rows from the others, by the root of the likelihood ratio
-    count = np.bincount(term, minlength=len(vocabulary)).astype(float)
-    score = np.zeros(len(vocabulary))
-    for c in range(labels.shape[1]):
-        y = labels[:, c].astype(float)
-        share = y.mean() if n else 0.0
-        if 0 < share < 1:
-            pos = np.bincount(term, weights=y[owner], minlength=len(vocabulary))
-            of = lambda k, m: np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / m), 0.0)
-            score = np.maximum(score, np.sqrt(np.maximum(0, 2 * (of(pos, count * share) + of(count - pos, count * (1 - share))))))
-    kept = np.lexsort((vocabulary, -score))[:max_terms]
-    kept = np.sort(kept[score[kept] >= least_score])
-    place = np.full(len(vocabulary), -1)
-    place[kept] = np.arange(len(kept))
-    known = place[term] >= 0
-    x = np.zeros((n, len(kept)))
-    x[owner[known], place[term[known]]] = 1
+def _chain(x: np.ndarray, terms: np.ndarray, labels: np.ndarray, folds: np.ndarray, categories: list[str], l2: float) -> Chain:
+    """x: rows by terms, 0 or 1. Each category's model sees the terms and the earlier categories' out-of-fold probabilities."""
     weights, biases = [], []
     for c in range(len(categories)):
-        y, oof = labels[:, c].astype(float), np.zeros(n)
+        y, oof = labels[:, c].astype(float), np.zeros(len(x))
         for f in np.unique(folds):
             out = folds == f
             w, b = _fit(x[~out], y[~out], l2)
@@ -105,14 +87,21 @@ def _chain(sets: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, catego
         weights.append(w)
         biases.append(b)
         x = np.column_stack([x, oof])
-    return Chain(categories, vocabulary[kept], weights, biases)
+    return Chain(categories, terms, weights, biases)
+
+
+def _telling(n: Column, of: Column, rows: float, positive: float) -> Column:
+    """Root of the likelihood ratio of a word in n of rows, of of them among the positive ones."""
+    share = positive / rows
+    part = lambda k, m: F.when(k > 0, k * F.log(k / m)).otherwise(0.0)
+    return F.sqrt(F.greatest(F.lit(0.0), (part(of, n * share) + part(n - of, n * (1 - share))) * 2))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, categories: dict[str, Column] | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = 6000, max_terms: int = 512, least_score: float = 5.5, folds: int = 5, l2: float = 0.5) -> Chain:
     """categories: names and, per name, a condition on text and label_col, in the chain's order.
 
     Words enter if the root of their likelihood ratio is least_score or more in some category (chance alone gives about
-    5 to the luckiest of a million words), at most max_terms of them.
+    5 to the luckiest of a million words), the max_terms most telling ones of them.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -124,19 +113,45 @@ def fit(docs: DataFrame, labels: DataFrame, *, categories: dict[str, Column] | N
     chosen = flags.filter("__label = 1").orderBy(*order).limit(sample_rows // 2).union(flags.filter("__label != 1").orderBy(*order).limit(sample_rows // 2))
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias(text_col)).join(F.broadcast(chosen), "__id")  # at most sample_rows ids
     rows = rows.withColumn(label_col, F.col("__label")).select("__id", text_col, *[F.coalesce(c, F.lit(False)).cast("int").alias(f"__c{i}") for i, c in enumerate(categories.values())], F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(folds)).cast("int").alias("__fold"))
-    flag_names = [f"__c{i}" for i in range(len(categories))]
-    schema = T.StructType([rows.schema["__id"], *[T.StructField(c, T.IntegerType()) for c in (*flag_names, "__fold")], T.StructField("terms", T.BinaryType())])
+    names = [f"__c{i}" for i in range(len(categories))]
+    # repeated documents train once: of one id the least text
+    sample = written(rows.groupBy("__id").agg(F.min_by(F.struct(text_col, *names, "__fold"), F.struct(F.xxhash64(text_col), text_col)).alias("r")).select("__id", "r.*"), "sample")
+    total = sample.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Words(alnum_mask())
         for b in batches:
-            words, _, _, first = split(*arrow_bytes(b[text_col]))
-            sets = [np.unique(words[first[i] : first[i + 1]]).tobytes() for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([*[b[c] for c in ("__id", *flag_names, "__fold")], pa.array(sets, pa.binary())], names=[f.name for f in schema.fields])
-
-    got = rows.mapInArrow(terms, schema).toPandas().sort_values(["__id", "terms"]).drop_duplicates("__id")
-    sets = [np.frombuffer(x, np.uint64) for x in got["terms"]]
-    return _chain(sets, got[flag_names].to_numpy(), got["__fold"].to_numpy(), list(categories), max_terms, least_score, l2)
+            hashes, _, _, first = split(*arrow_bytes(b[text_col]))
+            sets = [np.unique(hashes[first[i] : first[i + 1]]) for i in range(b.num_rows)]
+            row = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in sets]))
+            yield pa.RecordBatch.from_arrays([*[b[c].take(row) for c in names], pa.array(np.concatenate(sets or [np.zeros(0, np.uint64)]).astype(np.int64))], names=[*names, "term"])
+
+    found = sample.select(text_col, *names).mapInArrow(words, ", ".join([*[f"{c} int" for c in names], "term long"]))
+    counts = found.groupBy("term").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in names])
+    scores = [_telling(F.col("n"), F.col(c), float(total["n"]), float(total[c])) for c in names if 0 < total[c] < total["n"]]
+    terms = np.zeros(0, np.uint64)
+    if scores:
+        best = counts.withColumn("score", F.greatest(*scores, F.lit(0.0))).filter(F.col("score") >= least_score).orderBy(F.desc("score"), "term").limit(max_terms)
+        terms = np.sort(np.array([r["term"] for r in best.select("term").collect()], np.int64).astype(np.uint64))
+
+    schema = T.StructType([*[T.StructField(c, T.IntegerType()) for c in (*names, "__fold")], T.StructField("bits", T.BinaryType())])
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, lookup = Words(alnum_mask()), Lookup(terms)
+        for b in batches:
+            hashes, _, _, first = split(*arrow_bytes(b[text_col]))
+            place = lookup(hashes)
+            out = []
+            for i in range(b.num_rows):
+                has_term = np.zeros(len(terms) + 1, bool)
+                has_term[place[first[i] : first[i + 1]]] = True
+                out.append(np.packbits(has_term[1:]).tobytes())
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in (*names, "__fold")], pa.array(out, pa.binary())], names=schema.names)
+
+    got = sample.orderBy("__id").select(text_col, *names, "__fold").mapInArrow(bits, schema).toPandas()
+    x = np.array([np.unpackbits(np.frombuffer(r, np.uint8), count=len(terms)) for r in got["bits"]], float).reshape(len(got), len(terms))
+    drop(sample)
+    return _chain(x, terms, got[names].to_numpy().reshape(len(got), len(names)), got["__fold"].to_numpy(), list(categories), l2)
 
 
 def score(docs: DataFrame, chain: Chain, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
