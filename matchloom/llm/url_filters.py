@@ -11,7 +11,8 @@ any table of redirects. The component's decisions come by partial aggregates, an
 all pages costs a split join, not a group.
 
 Cases: null or scheme-less address: empty host and path, no rule, no alias, verdict allow. Null html: no edges from it.
-Repeated rows: each judged. Equally long rules: block loses to allow. Empty table: empty result. Other columns stay out.
+Repeated rows: each judged. Equally long rules: block loses to allow. Empty table: empty result. Other columns pass
+through; those named host, path, rule or verdict are replaced. Very long texts: every tag in them counts.
 """
 
 from __future__ import annotations
@@ -68,25 +69,42 @@ def ruling(rules: list[Rule], host: Column, path: Column) -> Column:
     return out
 
 
+def resolved(url: Column, target: Column) -> Column:
+    """A link's target as an address: whole, or relative to the page's (//host, /path, ?query, path with . and ..); else null."""
+    t = F.trim(target)
+    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
+    site = F.concat(scheme, F.lit("://"), F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1))
+    folder = F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
+    joined = F.when(t.startswith("/"), t).otherwise(F.concat(F.when(folder != "", folder).otherwise("/"), t))
+    way, rest = F.regexp_extract(joined, r"(?s)^([^?#]*)", 1), F.regexp_extract(joined, r"(?s)^[^?#]*(.*)$", 1)
+    parts = F.aggregate(F.split(way, "/"), F.array().cast("array<string>"), lambda a, x: F.when(x == ".", a).when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))).otherwise(F.concat(a, F.array(x))))
+    relative = F.when(t.startswith("//"), F.concat(scheme, F.lit(":"), t)).when(t.startswith("?"), F.concat(site, path_of(url), t)).when(~t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(site, F.array_join(parts, "/"), rest))
+    return F.when((t == "") | t.startswith("#"), None).when(t.contains("://"), t).when(host_of(url) != "", relative)
+
+
 def html_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(url, target) from canonical links and refreshes; targets without a scheme are left out."""
-    tag = F.regexp_extract(html, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    refresh = F.regexp_extract(html, r"(?is)<meta\b[^>]*http-equiv\s*=\s*[\"']?refresh\b[^>]*\burl\s*=\s*([^\"'\s>]+)", 1)
-    found = pages.filter(F.col(html).rlike(r"(?i)canonical|http-equiv")).select(F.col(url).alias("url"), F.explode(F.array(canonical, refresh)).alias("target"))
-    return found.filter(F.col("target").contains("://"))
+    """(url, target) from every canonical link and every refresh of a page, attributes in any order."""
+    tags = lambda name: F.regexp_extract_all(F.col("html"), F.lit(rf"(?is)(<{name}\b[^>]*>)"), F.lit(1))
+    links = F.filter(tags("link"), lambda x: x.rlike(r"(?is)\brel\s*=\s*[\"']?canonical\b"))
+    canonical = F.transform(links, lambda x: F.regexp_extract(x, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1))
+    metas = F.filter(tags("meta"), lambda x: x.rlike(r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"))
+    refresh = F.transform(metas, lambda x: F.regexp_extract(x, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1))
+    rows = pages.select(F.col(url).alias("url"), F.col(html).alias("html")).filter(F.col("html").rlike(r"(?i)canonical|http-equiv"))
+    found = rows.select("url", F.explode(F.concat(canonical, refresh)).alias("target"))
+    return found.select("url", resolved(F.col("url"), F.col("target")).alias("target")).filter("target is not null")
 
 
 def judge(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = None, url: str = "url") -> DataFrame:
     """pages and host, path, rule, verdict. edges: (url, target) redirects and canonical links, any number of hops."""
     texts = {r.text: r.verdict for r in sorted(rules, key=lambda r: r.verdict == "allow")}
     is_allow = F.col("rule").isin([t for t, v in texts.items() if v == "allow"])
-    base = pages.withColumn("__plain", plain(F.col(url))).withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    base = pages.withColumn("__plain", plain(F.col(url))).withColumn("__host", host_of(F.col(url))).withColumn("__path", path_of(F.col(url)))
+    base = base.drop("host", "path", "rule", "verdict").withColumnsRenamed({"__host": "host", "__path": "path"})
     base = base.withColumn("rule", ruling(rules, F.col("host"), F.col("path")))
     if edges is not None:
         links = edges.select(plain(F.col("url")).alias("u"), plain(F.col("target")).alias("v"))
-        roots = components(links, label="urls")
-        base = base.join(roots.withColumnRenamed("node", "__plain"), "__plain", "left").withColumn("__class", F.coalesce("root", "__plain")).drop("root")
+        roots = components(links, label="urls").select(F.col("node").alias("__plain"), F.col("root").alias("__root"))
+        base = base.join(roots, "__plain", "left").withColumn("__class", F.coalesce("__root", "__plain")).drop("__root")
     else:
         base = base.withColumn("__class", F.col("__plain"))
     ruled = base.filter(F.col("rule").isNotNull() & F.col("__class").isNotNull())
