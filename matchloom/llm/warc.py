@@ -4,6 +4,9 @@ An archive is a row (path, content), the shape in which Spark reads binary files
 spark.read.format("binaryFile") of *.warc.gz files as well as the table that write_archives() makes. An archive is
 closed at about archive_bytes, so a row stays small, and each is read on its own: nothing needs an order across rows.
 
+An archive may also be any binary stream: read_records() reads it slice by slice and holds one record, and read_files() does
+so for files of any size, each read by one task through its file system.
+
 The reader decompresses a member in slices, parses the header as soon as its empty line has come, takes exactly
 Content-Length bytes of block, and checks WARC-Block-Digest and, for a full response, WARC-Payload-Digest, both
 SHA-1 in base32. Errors are told in a column, not swallowed: a record with a bad digest or length is returned with
@@ -20,10 +23,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
+import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,21 +66,21 @@ def _headers(raw: bytes) -> tuple[str, dict[str, str]]:
     return first, {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in rest) if k}
 
 
-def members(content: bytes) -> Iterator[tuple[bytes, dict[str, str], bytes, str]]:
+def members(archive: bytes | BinaryIO) -> Iterator[tuple[bytes, dict[str, str], bytes, str]]:
     """Version line, headers, block and error ('' if none) of each record of an archive."""
-    at, n = 0, len(content)
-    while at < n:
+    source = io.BytesIO(archive) if isinstance(archive, (bytes, bytearray, memoryview)) else archive
+    left = b""
+    while left or (left := source.read(SLICE)):
         unpack, got, head, error = zlib.decompressobj(31), bytearray(), -1, ""
-        need = None
+        version, fields, need = "", {}, None
         try:
-            while not unpack.eof and at < n:
-                part = content[at : at + SLICE]
-                at += len(part)
+            while not unpack.eof and (part := left or source.read(SLICE)):
+                left = b""
                 got += unpack.decompress(part)
                 if head < 0 and (head := got.find(b"\r\n\r\n")) >= 0:
                     version, fields = _headers(bytes(got[:head]))
                     need = head + 4 + int(fields.get("content-length", "-1"))
-            at -= len(unpack.unused_data)
+            left = unpack.unused_data
         except (zlib.error, ValueError) as e:
             yield b"", {}, b"", f"broken member: {e}"
             return
@@ -88,8 +94,8 @@ def members(content: bytes) -> Iterator[tuple[bytes, dict[str, str], bytes, str]
         yield version.encode(), fields, bytes(got[head + 4 : need]), error
 
 
-def read_records(content: bytes) -> Iterator[dict]:
-    for _, fields, block, error in members(content):
+def read_records(archive: bytes | BinaryIO) -> Iterator[dict]:
+    for _, fields, block, error in members(archive):
         kind = fields.get("warc-type", "")
         end = block.find(b"\r\n\r\n")
         _, http = _headers(block[:end]) if end >= 0 else ("", {})
@@ -128,22 +134,43 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str =
     return rows.select(F.col("page_id").cast("string"), "url", "payload", F.col("first").cast("string")).mapInPandas(run, "path string, content binary")
 
 
+_NAMES = ["path", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload", "error"]
+_SCHEMA = "path string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, error string"
+
+
+def _frames(path: str, archive: bytes | BinaryIO, payload: bool, held_bytes: int = 8 << 20) -> Iterator[pd.DataFrame]:
+    out, held = [], 0
+    for r in read_records(archive):
+        out.append([path, *(r[k] if payload or k != "payload" else None for k in _NAMES[1:])])
+        held += len(r["payload"] or b"") if payload else 0
+        if len(out) == 256 or held >= held_bytes:
+            yield _frame(out, _NAMES)
+            out, held = [], 0
+    yield _frame(out, _NAMES)
+
+
 def read_archives(archives: DataFrame, *, payload: bool = True) -> DataFrame:
     """A row per record: path, page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload (null without), error."""
-    names = ["path", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload", "error"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                out = []
-                for r in read_records(bytes(content)):
-                    out.append([path, *(r[k] if payload or k != "payload" else None for k in names[1:])])
-                    if len(out) == 256:
-                        yield _frame(out, names)
-                        out = []
-                yield _frame(out, names)
-
-    return archives.select("path", "content").mapInPandas(run, "path string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, error string")
+                yield from _frames(path, bytes(content), payload)
+
+    return archives.select("path", "content").mapInPandas(run, _SCHEMA)
+
+
+def read_files(paths: DataFrame, *, path_col: str = "path", payload: bool = True) -> DataFrame:
+    """Rows as read_archives() gives them, of files (paths or URIs) that workers open themselves and read in slices."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                files, name = pyarrow.fs.FileSystem.from_uri(path)
+                with files.open_input_stream(name, compression=None) as stream:
+                    yield from _frames(path, stream, payload)
+
+    return paths.select(F.col(path_col).alias("path")).mapInPandas(run, _SCHEMA)
 
 
 def _frame(rows: list[list], names: list[str]) -> pd.DataFrame:
