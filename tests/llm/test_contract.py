@@ -119,22 +119,34 @@ def test_op3(spark, sf):
 def test_op4(spark, sf):
     docs = [(r.doc_id, re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (r.text or "").encode())) + [None]) for r in rows(spark, sf, "documents")]
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
-    c, c2, ctx = collections.Counter(), collections.Counter(), collections.Counter()
+    c = collections.Counter()
     for i, w in docs:
         if not held(i):
-            c.update(w)
-            c2.update(zip(["begin", *w], w))
-            ctx.update(["begin", *w[:-1]])
-    n, v = sum(c.values()), len(c)
-    mu = Q.lm.MU
-    p = lambda w: (c[w] + 0.5) / (n + 0.5 * (v + 1))
+            w = ["begin", *w]
+            for m in (1, 2, 3):
+                c.update(tuple(w[k : k + m]) for k in range(m == 1, len(w) - m + 1))
+    starts = sum(not held(i) for i, _ in docs)
+    n, v = sum(k for x, k in c.items() if len(x) == 1), sum(len(x) == 1 for x in c)
+    context = lambda h: starts if h == ("begin",) else c[h]
+    p = lambda w: (c[(w,)] + 0.5) / (n + 0.5 * (v + 1))
+
+    def smoothed(h, w):
+        if not h:
+            return p(w)
+        mu = Q.lm.MU[len(h) - 1]
+        return (c[(*h, w)] + mu * smoothed(h[1:], w)) / (context(h) + mu)
+
     got = {(r.doc_id, r.n_tokens): r for r in Q.op4_lm_scoring(spark, sf).collect()}
     assert len(got) == len({(i, len(w)) for i, w in docs})
     for i, w in docs:
         g = got[i, len(w)]
-        assert (g.held_out, g.n_known, g.train_tokens) == (held(i), sum(c[x] > 0 for x in w), n)
+        assert (g.held_out, g.n_known, g.train_tokens) == (held(i), sum(c[(x,)] > 0 for x in w), n)
         assert math.isclose(g.base_score, sum(math.log10(p(x)) for x in w), abs_tol=1e-4)
-        assert math.isclose(g.score, sum(math.log10((c2[h, x] + mu * p(x)) / (ctx[h] + mu)) for h, x in zip(["begin", *w], w)), abs_tol=1e-4)
+        before = ["begin", *w]
+        want = sum(math.log10(smoothed(tuple(before[max(0, k - 1) : k + 1]), x)) for k, x in enumerate(w))
+        assert math.isclose(g.score, want, abs_tol=1e-4)
+    small = Q.lm.score(Q.table(spark, sf, "documents"), train=Q.F.crc32(Q.F.col("doc_id").cast("string").cast("binary")) % 5 != 1, block_words=700, shard_bytes=3000)
+    assert all(math.isclose(r.score, got[r.doc_id, r.n_tokens].score, abs_tol=1e-4) for r in small.collect())
 
 
 def test_op6(spark, sf):
@@ -173,7 +185,7 @@ def test_op9(spark, sf):
         want.append((r.doc_id, len(ids), hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()))
     check(Q.op9_byte_bpe(spark, sf).collect(), want)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    small = Q.bpe.encode(docs, chunk=200, overlap=64, long_chars=1000)
+    small = Q.bpe.encode(docs, chunk=200, overlap=64)
     check(Q.bpe.digests(small).collect(), want)
 
 
@@ -342,7 +354,7 @@ def test_large_ids_beside_null_ids(spark):
     ids = lambda df, c: sorted((r[c] for r in df.collect()), key=str)
     want = sorted(big, key=str)
     assert ids(bpe.digests(bpe.encode(docs)), "doc_id") == want
-    assert ids(bpe.digests(bpe.encode(docs, chunk=32, overlap=16, long_chars=64)), "doc_id") == want
+    assert ids(bpe.digests(bpe.encode(docs, chunk=32, overlap=16)), "doc_id") == want
     turns = docs.selectExpr("doc_id AS conv_id", "0 AS turn", "'user' AS role", "text")
     assert ids(chat.digests(chat.render(turns)), "conv_id") == want
     same = docs.selectExpr("doc_id AS page_id", "'http://a.b/' AS url", "'same' AS html")
