@@ -9,14 +9,15 @@ diagonal by more than similarity allows are left out (they would leave too many
 order is taken. Similarity is its length over that of the union; pairs of similarity or more are links.
 
 A bucket of texts that share an entry is not expanded into its pairs. One of its texts leads and is compared with all
-that have not led, then several, and so on; texts that are linked already, over whatever others, need no comparison. A
-bucket is done when all that have not led are of one class. After a few such rounds the texts of the pairs still open
-are dealt anew, by their rarest labelled k-mers: texts of similarity or more share one of these (prefix filter), texts
-that only share a frequent passage don't. There the rounds go on until nothing is open, those with the most frequent
-k-mers leading first, as the original of many copies does. So every pair that shares an entry is linked, compared or
-can't be similar; no bucket is dropped or cut for its size. Texts that share rare k-mers, aren't alike and aren't linked
-over others are all compared with one another. Equal texts are one node from the start. Classes are the connected
-components of the links, named by their least id.
+others. Buckets whose texts are of one class then are done. The texts of the others are dealt anew, by their rarest
+labelled k-mers: texts of similarity or more share one of these (prefix filter; of two texts the shorter one needs fewer),
+texts that only share a frequent passage don't. There several texts of a bucket lead, then ever more, until all have led
+or are of one class; texts that are linked already, over whatever others, or that are too unlike in length and in the
+place of what they share, need no comparison. Those with the most frequent k-mers lead first, as the original of many
+copies does. So every pair that shares an entry is linked, compared or can't be similar; no bucket is dropped or cut for
+its size. Texts that share rare k-mers, aren't alike and aren't linked over others are all compared with one another.
+Equal texts are one node from the start. Classes are the connected components of the links, named by their least id; each
+round's links are joined to the classes so far, not to the links so far.
 
 Cases: texts of fewer than k words have one k-mer, the whole text. Null texts and texts without words: a class with
 texts that are byte for byte equal; null by itself, each row its own class. Null ids are left out of classes (class
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, written
+from .common import drop, small_batches, written
 from .graph import components
 from .tokens import Words, alnum_mask, arrow_bytes, mix
 
@@ -186,49 +187,42 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) ->
     return both.select("a", "b", "wa", "wb").mapInArrow(verify, out)
 
 
-def _rounds(members: DataFrame, known: DataFrame | None, most: int | None, check, similarity: float, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Compares some texts of each bucket with all of its bucket that haven't led, again and again (most times at most).
+def _stars(members: DataFrame, leaders: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) to compare of up to so many leaders of each bucket and its other texts; and who led (bucket, doc_id).
 
-    The first round takes one text, each later round up to 2**bits times as many as the one before. members: (bucket,
-    doc_id, class, score, size, at); texts of one class are linked already and not compared, the greatest score leads
-    first, and what follows place at of size k-mers bounds how many two texts can share. known: (a, b, similar) so far.
-    Returns what is known then, and the members of pairs that are still open.
+    members: (bucket, doc_id, class, score, size, at, lead). Of those who may lead the greatest score goes first. A leader
+    meets texts of its length or more, and what follows place at of size k-mers bounds how many two texts can share.
     """
-    open_, n = members, 0
     need = similarity / (1 + similarity)
-    while True:
-        slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << min(bits * n, 62))).alias("slot")
-        best = F.min(F.struct((-F.col("score")).alias("score"), "doc_id", "class", "size", "at")).alias("p")
-        first = open_.groupBy("bucket", slot).agg(best).select("bucket", F.col("p.doc_id").alias("p"), F.col("p.class").alias("of"), F.col("p.size").alias("p_size"), F.col("p.at").alias("p_at"))
-        able = F.least(F.col("p_size") - F.col("p_at"), F.col("size") - F.col("at")) >= need * (F.col("p_size") + F.col("size")) - 1e-9
-        star = first.join(open_, "bucket").filter((F.col("of") != F.col("class")) & able)
-        pairs = star.select(F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")).distinct()
-        if known is not None:
-            pairs = pairs.join(known.hint("merge"), ["a", "b"], "left_anti")
-        checked = written(check(pairs), "checked")
-        known = checked if known is None else known.union(checked)
-        open_ = open_.join(first.select("bucket", F.col("p").alias("doc_id")).hint("merge"), ["bucket", "doc_id"], "left_anti")
-        if not checked.filter("similar").isEmpty():
-            roots = components(known.filter("similar"), "a", "b", label="so-far").select(F.col("node").alias("doc_id"), "root")
-            open_ = open_.join(roots.hint("merge"), "doc_id", "left").withColumn("class", F.coalesce("root", "class"))
-        open_ = written(_mixed(open_.select(members.columns)), "open")
-        n += 1
-        if n == most or open_.isEmpty():
-            return known, open_
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(leaders)).alias("slot")
+    best = F.min(F.struct((-F.col("score")).alias("score"), "doc_id", "class", "size", "at")).alias("p")
+    first = members.filter("lead").groupBy("bucket", slot).agg(best).select("bucket", F.col("p.doc_id").alias("p"), F.col("p.class").alias("of"), F.col("p.size").alias("p_size"), F.col("p.at").alias("p_at"))
+    able = F.least(F.col("p_size") - F.col("p_at"), F.col("size") - F.col("at")) >= need * (F.col("p_size") + F.col("size")) - 1e-9
+    star = first.join(members, "bucket").filter((F.col("of") != F.col("class")) & (F.col("size") >= F.col("p_size")) & able)
+    return star.select(F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")).distinct(), first.select("bucket", F.col("p").alias("doc_id"))
+
+
+def _classed(rows: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """rows with their class after links; classes: (doc_id, class) so far, of all that the links name."""
+    of = lambda end: classes.select(F.col("doc_id").alias(end), F.col("class").alias(f"class_{end}"))
+    joined = links.select("a", "b").join(of("a"), "a").join(of("b"), "b")
+    roots = components(joined, "class_a", "class_b", label="so-far").select(F.col("node").alias("class"), F.col("root").alias("__root"))
+    return rows.join(roots.hint("merge"), "class", "left").withColumn("class", F.coalesce("__root", "class")).select(rows.columns)
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """The members of buckets of more than one class."""
-    mixed = members.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x != y").select("bucket")
+    """The members of buckets of more than one class of which some may lead."""
+    mixed = members.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.max("lead").alias("l")).filter("x != y and l").select("bucket")
     return members.join(mixed.hint("merge"), "bucket").select(members.columns)
 
 
 def _rare(texts: DataFrame, k: int, similarity: float) -> DataFrame:
-    """(bucket, doc_id, score, size, at): the rarest labelled k-mers of each text, of which similar texts share one.
+    """(bucket, doc_id, score, size, at, lead): the rarest labelled k-mers of each text, of which similar texts share one.
 
     A text of n k-mers shares similarity * n at least with a similar one, so one of its n - similarity * n + 1 first in
-    any order that holds for all texts. Here that of counts, which are kept by 20 bits of a k-mer: what a collision
-    makes look frequent only stands later. K-mers that no other text can have take a place but make no row.
+    any order that holds for all texts; and 2 * similarity / (1 + similarity) * n with one that is as long or longer, so
+    that it needs to lead by as many fewer of its first. The order is that of counts, which are kept by 20 bits of a k-mer:
+    what a collision makes look frequent only stands later. K-mers that no other text can have take a place but make no row.
     """
     spark = texts.sparkSession
     slots = np.uint64((1 << 20) - 1)
@@ -260,27 +254,41 @@ def _rare(texts: DataFrame, k: int, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(score, pa.float64()), pa.array(size, pa.int32()), pa.array(skipped, pa.int32()), pa.array(rare, pa.list_(pa.int64()))], names=schema.names)
 
     rows = texts.select("doc_id", "words").mapInArrow(run, schema).select("doc_id", "score", "size", "skipped", F.posexplode("rare").alias("place", "bucket"))
-    return rows.select("bucket", "doc_id", "score", "size", (F.col("skipped") + F.col("place")).alias("at"))
-
+    leads = F.col("size") - F.ceil(F.col("size") * (2 * similarity / (1 + similarity)) - 1e-9) + 1
+    return rows.select("bucket", "doc_id", "score", "size", (F.col("skipped") + F.col("place")).alias("at")).withColumn("lead", F.col("at") < leads)
 
-def links(nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, entries: int = 12, ell: int = 3, rounds: int = 2) -> DataFrame:
-    """(a, b) verified links between nodes (doc_id, sketch), one per text.
 
-    Pairs that rounds of comparisons leave open are of buckets of many texts that are not alike, such as those that
-    share a frequent passage. They are dealt by their rare k-mers and compared until nothing is open.
-    """
+def links(nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, entries: int = 12, ell: int = 3) -> DataFrame:
+    """(a, b) verified links between nodes (doc_id, sketch), one per text: enough of them to connect each class."""
     buckets = nodes.select("doc_id", F.explode("sketch").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    none = [F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("at")]
-    members = written(buckets.join(shared.hint("merge"), "bucket").select("bucket", "doc_id", F.col("doc_id").alias("class"), *none), "members")
+    some = [F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("at"), F.lit(True).alias("lead")]
+    members = written(buckets.join(shared.hint("merge"), "bucket").select("bucket", "doc_id", F.col("doc_id").alias("class"), *some), "members")
     texts = written(_word_table(docs, members.select("doc_id").distinct(), id_col, text_col).dropDuplicates(["doc_id"]), "words")
-    check = lambda pairs: _verified(pairs, texts, k, similarity)
-    known, open_ = _rounds(members, None, rounds, check, similarity, 1)
-    if not open_.isEmpty():
-        left = open_.groupBy("doc_id").agg(F.min("class").alias("class"))
-        rare = _rare(texts.join(left.hint("merge"), "doc_id", "left_semi"), k, similarity).join(left.hint("merge"), "doc_id")
-        known, _ = _rounds(written(_mixed(rare.select(members.columns)), "rare"), known, None, check, similarity, 2)
-    return known.filter("similar").select("a", "b")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        return written(_verified(pairs, texts, k, similarity).filter("similar").select("a", "b"), "links")
+
+    known = similar(_stars(members, 1, similarity)[0])
+    # a node's class is itself until it is linked
+    own = members.select("doc_id", "class").distinct()
+    left = written(_mixed(_classed(members, known, own)).groupBy("doc_id").agg(F.min("class").alias("class")), "left")
+    drop(members)
+    if left.isEmpty():
+        return known
+    rare = _rare(texts.join(left.hint("merge"), "doc_id", "left_semi"), k, similarity).join(left.hint("merge"), "doc_id")
+    open_, leaders = written(_mixed(rare.select("bucket", "doc_id", "class", "score", "size", "at", "lead")), "rare"), 4
+    while not open_.isEmpty():
+        pairs, led = _stars(open_, leaders, similarity)
+        found = similar(pairs)
+        after = open_.join(led.withColumn("__led", F.lit(True)).hint("merge"), ["bucket", "doc_id"], "left").withColumn("lead", F.col("lead") & F.col("__led").isNull()).select(open_.columns)
+        if not found.isEmpty():
+            known = known.union(found)
+            after = _classed(after, found, open_.select("doc_id", "class").distinct())
+        before, open_ = open_, written(_mixed(after), "open")
+        drop(before)
+        leaders = 1 << 10 if leaders == 4 else 1 << 62
+    return known
 
 
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, entries: int = 12, ell: int = 3) -> DataFrame:
