@@ -62,7 +62,7 @@ def set_games(score: Column, side: int, n: int = 5) -> list[Column]:
 
 
 def score_key(score: Column) -> Column:
-    """Ten digits: the games of five sets."""
+    """The games of five sets, one after the other: ten characters, and more where a set has ten games or more (70-68: 7068)."""
     a, b = set_games(score, 1), set_games(score, 2)
     return F.concat(*[F.concat(x.cast("string"), y.cast("string")) for x, y in zip(a, b)])
 
@@ -125,7 +125,49 @@ def valid_height(text: Column) -> Column:
 
 
 def valid_hand(text: Column) -> Column:
-    return recode(F.lower(F.trim(text)), {"l": "L", "left": "L", "left-handed": "L", "r": "R", "right": "R", "right-handed": "R", "u": "U", "unknown": "U"})
+    words = {"l": "L", "left": "L", "left-handed": "L", "lefthanded": "L", "r": "R", "right": "R", "right-handed": "R", "righthanded": "R", "u": "U", "unknown": "U", "ambidextrous": "U", "both": "U"}
+    return recode(F.lower(F.trim(text)), words)
+
+
+def valid_dob(text: Column, today: Column | None = None) -> Column:
+    """A date of birth in ISO, yyyy/MM/dd, yyyyMMdd, month or day first with / or -; from 1940 to 16 years ago, else null.
+
+    Of a date that fits with the month or the day first, the month is first.
+    """
+    t = F.trim(text)
+    tried = [("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"), ("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"), ("^[0-9]{8}$", "yyyyMMdd")]
+    tried += [(f"^[0-9]{{1,2}}{x}[0-9]{{1,2}}{x}[0-9]{{4}}$", f) for x in "/-" for f in (f"M{x}d{x}yyyy", f"d{x}M{x}yyyy")]
+    found = F.coalesce(*[F.when(t.rlike(p), F.try_to_date(t, f)) for p, f in tried])
+    last = F.add_months(F.current_date() if today is None else today, -16 * 12)
+    return F.when(found.between(F.lit("1940-01-01").cast("date"), last), found)
+
+
+#: Codes of the sources of matches.
+SOURCES = {0: "main_dataset", 1: "infosys_api", 2: "tennis_api"}
+
+
+def source_name(code: Column) -> Column:
+    return F.coalesce(recode(code.cast("int"), SOURCES), F.concat(F.lit("unknown_"), code.cast("string")))
+
+
+def source_code(name: Column) -> Column:
+    return recode(F.lower(F.trim(name)), {v: k for k, v in SOURCES.items()})
+
+
+def calendar_parts(text: Column) -> tuple[Column, Column]:
+    """(from, to) of a calendar's 'a - b'; the second null without it."""
+    parts = F.split(text, " - ")
+    return F.trim(F.get(parts, F.lit(0))), F.trim(F.get(parts, F.lit(1)))
+
+
+def last_path_part(url: Column) -> Column:
+    """The last part of an address's path that isn't empty, such as a match's id."""
+    return F.element_at(F.filter(F.split(F.regexp_extract(url, r"^([^?#]*)", 1), "/"), lambda x: x != ""), -1)
+
+
+def best_of(*odds: Column) -> Column:
+    """The greatest of several prices; nulls don't count."""
+    return F.greatest(*odds) if len(odds) > 1 else odds[0]
 
 
 #: First and last identifier by level; other levels take that of C.

@@ -56,10 +56,52 @@ def cascade(left: DataFrame, right: DataFrame, steps: list[tuple[str, list[str]]
     return left.select(left_id).join(linked, left_id, "left").withColumn("status", F.when(F.col("method").isNotNull(), "enriched").otherwise("failed"))
 
 
-def best_by_similarity(names: DataFrame, registry: DataFrame, name: str, variant: str, score: Column, tokens_of, keep: int = 1, least: float = 0.6, max_block: int | None = None) -> DataFrame:
-    """Top registry variants per distinct name among those that share a token (or the name itself)."""
-    a = names.select(name).distinct().withColumn("__t", F.explode_outer(tokens_of(F.col(name))))
-    b = registry.withColumn("__t", F.explode_outer(tokens_of(F.col(variant))))
-    pairs = a.join(b, "__t").drop("__t").distinct().withColumn("score", score).filter(F.col("score") >= least)
-    w = Window.partitionBy(name).orderBy(F.desc("score"), F.col(variant))
-    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= keep)
+def _blocks(rows: DataFrame, name: str, tokens_of, hot: DataFrame) -> DataFrame:
+    """(name, __t): what a name is compared under: itself, each of its rarer tokens, and each two of its frequent ones."""
+    each = rows.select(F.col(name).alias("__n"), F.explode(tokens_of(F.col(name))).alias("__t")).join(hot, "__t", "left")
+    rare = each.filter("__hot is null").select("__n", "__t")
+    some = each.filter("__hot").groupBy("__n").agg(F.sort_array(F.collect_set("__t")).alias("h"))
+    two = F.flatten(F.transform("h", lambda x, i: F.transform(F.slice("h", i + 2, F.greatest(F.size("h") - i - 1, F.lit(0))), lambda y: F.concat(x, F.lit(" "), y))))
+    itself = rows.select(F.col(name).alias("__n"), F.concat(F.lit("="), F.lower(name)).alias("__t"))
+    return rare.union(some.select("__n", F.explode(two))).union(itself).distinct().withColumnRenamed("__n", name)
+
+
+def best_by_similarity(names: DataFrame, registry: DataFrame, name: str, variant: str, score: Column, tokens_of, keep: int | None = 1, least: float = 0.6, frequent: int = 1000) -> DataFrame:
+    """Top registry variants (keep None: all) per distinct name, among those that are equal but for case or share a token.
+
+    A token that more than frequent variants hold doesn't make a pair by itself, only together with another shared one; so
+    a word of all names costs no more than others. Ties: the least variant first.
+    """
+    a, b = names.select(name).filter(F.col(name).isNotNull()).distinct(), registry.select(variant).filter(F.col(variant).isNotNull()).distinct()
+    hot = b.select(F.explode(tokens_of(F.col(variant))).alias("__t")).groupBy("__t").agg(F.count("*").alias("n")).filter(F.col("n") > frequent).select("__t", F.lit(True).alias("__hot"))
+    pairs = _blocks(a, name, tokens_of, hot).join(_blocks(b, variant, tokens_of, hot), "__t").drop("__t").distinct()
+    scored = pairs.withColumn("score", score).filter(F.col("score") >= least).join(registry, variant)
+    if keep is None:
+        return scored
+    w = Window.partitionBy(name).orderBy(F.desc("score"), F.col(variant), *[c for c in registry.columns if c != variant])
+    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= keep)
+
+
+def lookup(left: DataFrame, dimension: DataFrame, keys: list[str], columns: dict[str, str] | None = None) -> DataFrame:
+    """left with columns of a table that holds each key once at most: names there to names here, all others by default.
+
+    A column that left has keeps its own value where the table has none. Repeated keys of the table: the least row counts.
+    """
+    columns = columns or {c: c for c in dimension.columns if c not in keys}
+    one = dimension.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("__d"))
+    j = left.join(one, keys, "left")
+    new = {here: F.coalesce(F.col(f"__d.{there}"), F.col(here)) if here in left.columns else F.col(f"__d.{there}") for there, here in columns.items()}
+    return j.withColumns(new).select(*left.columns, *[c for c in columns.values() if c not in left.columns])
+
+
+def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The row of each key that comes last in the order, as one aggregate; of equal ones the greatest."""
+    rest = [c for c in df.columns if c not in keys]
+    top = df.groupBy(*keys).agg(F.max(F.struct(*order, *[c for c in rest if c not in order])).alias("__r"))
+    return top.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
+
+
+def recent_matches(matches: DataFrame, names: tuple[str, str] = ("player1_name", "player2_name")) -> DataFrame:
+    """Every player's last match: player_id, match_id, date, opponent, round. matches: match_id, date, round, player1_id, player2_id."""
+    side = lambda p: F.struct(F.col(f"player{p}_id").alias("player_id"), "date", "match_id", F.col(names[2 - p]).alias("opponent"), "round")
+    return latest(matches.select(F.inline(F.array(side(1), side(2)))).filter("player_id is not null"), ["player_id"], ["date", "match_id"])

@@ -80,11 +80,16 @@ def needs_replay(new: DataFrame, ratings: DataFrame) -> bool:
 
 
 def replay(history: DataFrame, new: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Ratings of history and new matches; of earlier ratings only those before the first new key stay."""
-    first = order_key(new).agg(F.min("kk").alias("first"))
-    every = order_key(history.unionByName(new)).crossJoin(F.broadcast(first))  # one row
-    kept = ratings.crossJoin(F.broadcast(first)).filter("kk < first").drop("first")
-    return kept.unionByName(rate(every.filter("kk >= first").drop("kk", "first"), kept))
+    """Ratings of history and new matches; of earlier ratings only those before the first new key stay.
+
+    Give ratings as a stored table (a snapshot): they are read for what stays, and again for the state to go on from.
+    """
+    first = order_key(new).agg(F.min("kk")).first()[0]
+    if first is None:
+        return ratings
+    kept = ratings.filter(F.col("kk") < first)
+    every = order_key(history.unionByName(new)).filter(F.col("kk") >= first).drop("kk")
+    return kept.unionByName(rate(every, kept))
 
 
 def current(ratings: DataFrame) -> DataFrame:
@@ -94,3 +99,13 @@ def current(ratings: DataFrame) -> DataFrame:
 def as_of(ratings: DataFrame, kk: int) -> DataFrame:
     """Each player's ratings strictly before a key."""
     return current(ratings.filter(F.col("kk") < kk))
+
+
+#: Rounds in the archived order, where round robin comes first and what is unknown last.
+ARCHIVED = {"RR": 0, "ER": 0, "R128": 1, "R64": 2, "R32": 3, "R16": 4, "QF": 5, "SF": 6, "BR": 7, "F": 8}
+
+
+def archived_order(matches: DataFrame) -> DataFrame:
+    """matches whose round_order makes order_key() sort in the archived way: by date, tournament, then ARCHIVED, unknown last."""
+    table = F.create_map(*[F.lit(x) for p in ARCHIVED.items() for x in p])
+    return matches.withColumn("round_order", 2000 - F.coalesce(F.element_at(table, F.col("round")), F.lit(99)))

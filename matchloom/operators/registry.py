@@ -54,18 +54,41 @@ def ambiguous(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def closest_rank(names: DataFrame, players: DataFrame, keys: list[str], rank: str, player_id: str, row_id: str) -> DataFrame:
-    """row_id and the player of the same keys whose rank is nearest; of equally near ones the least id."""
-    p = players.select(*keys, F.col(rank).alias("__rank"), F.col(player_id).alias("__player"))
-    j = names.join(p, keys).withColumn("__gap", F.abs(F.col(rank) - F.col("__rank"))).filter("__gap is not null")
-    return j.groupBy(row_id).agg(F.min(F.struct("__gap", "__player")).alias("b")).select(row_id, F.col("b.__player").alias(player_id), F.col("b.__gap").alias("gap"))
+    """row_id and the player of the same keys whose rank is nearest; of equally near ones the least id.
+
+    Both sides in one order of keys and rank: the nearest is the last player up to a row or the first from it on, so
+    that a key of many names and players costs a sort of them, not their product.
+    """
+    least = players.groupBy(*keys, F.col(rank).alias("__rank")).agg(F.min(player_id).alias("__player")).filter("__rank is not null")
+    rows = names.filter(F.col(rank).isNotNull()).select(*keys, F.col(rank).alias("__rank"), F.col(row_id).alias("__row"), F.lit(None).cast(least.schema["__player"].dataType).alias("__player"))
+    both = rows.unionByName(least.withColumn("__row", F.lit(None).cast(rows.schema["__row"].dataType)))
+    held = F.when(F.col("__player").isNotNull(), F.struct("__rank", "__player"))
+    w = Window.partitionBy(*keys).orderBy("__rank")
+    near = both.withColumns({"a": F.last(held, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)), "b": F.first(held, ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))})
+    gap = lambda c: F.abs(F.col("__rank") - F.col(f"{c}.__rank"))
+    pick = lambda c: F.when(F.col(c).isNotNull(), F.struct(gap(c).alias("gap"), F.col(f"{c}.__player").alias("p")))
+    found = near.filter("__player is null").withColumn("best", F.least(pick("a"), pick("b"))).filter("best is not null")
+    return found.select(F.col("__row").alias(row_id), F.col("best.p").alias(player_id), F.col("best.gap").alias("gap"))
+
+
+def doubtful_variants(registry: DataFrame, entity: str, variant: str, score, below: float = 0.6, names: int = 64) -> DataFrame:
+    """Pairs (first, second) of an entity's variants that are less alike than below: all pairs are compared.
+
+    An entity's distinct names are dealt into blocks of at most names; a task compares two blocks, so that an entity of very
+    many names, whose check costs their square whatever one does, is shared by many tasks.
+    """
+    v = registry.select(entity, variant).filter(F.col(variant).isNotNull()).distinct()
+    size = v.groupBy(entity).agg(F.count("*").alias("__size")).filter("__size > 1").withColumn("__blocks", F.ceil(F.col("__size") / names).cast("int"))
+    v = v.join(size, entity).withColumn("__b", F.pmod(F.xxhash64(variant), F.col("__blocks")).cast("int"))
+    a = v.select(entity, F.col(variant).alias("first"), F.col("__b").alias("x"), F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("y"))
+    b = v.select(entity, F.col(variant).alias("second"), F.col("__b").alias("y"), F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("x"))
+    pairs = a.join(b, [entity, "x", "y"]).filter("first < second").select(entity, "first", "second")
+    return pairs.withColumn("similarity", score(F.col("first"), F.col("second"))).filter(F.col("similarity") < below)
 
 
-def doubtful_variants(registry: DataFrame, entity: str, variant: str, score, below: float = 0.6) -> DataFrame:
-    """Each variant of an entity against its least one, if they are less alike than below: as many rows as variants."""
-    v = registry.select(entity, variant).distinct()
-    main = F.min(variant).over(Window.partitionBy(entity))
-    out = v.withColumn("main", main).filter(F.col(variant) != F.col("main"))
-    return out.withColumn("similarity", score(F.col("main"), F.col(variant))).filter(F.col("similarity") < below)
+def issues(doubtful: DataFrame, entity: str) -> DataFrame:
+    """One row per entity with doubtful pairs: how many, and the least alike."""
+    return doubtful.groupBy(entity).agg(F.count("*").alias("pairs"), F.min(F.struct("similarity", "first", "second")).alias("w")).select(entity, "pairs", F.col("w.similarity").alias("least"), F.col("w.first").alias("first"), F.col("w.second").alias("second"))
 
 
 def remove_matches(events: DataFrame, gone: DataFrame, key: str) -> DataFrame:
@@ -113,3 +136,56 @@ def bet_summary(results: DataFrame, by: str = "strategy") -> DataFrame:
         F.count("*").alias("bets"), F.count_if(F.col("won") == 1).alias("wins"), F.count_if(F.col("won") != 1).alias("losses"), F.sum("profit").alias("profit"), F.sum("stake").alias("staked"),
         F.try_divide(F.sum("profit") * 100, F.sum("stake")).alias("roi"), F.avg("ev").alias("edge"), F.stddev_samp("ev").alias("edge_sd"), F.avg(realised).alias("realised"), F.stddev_samp(realised).alias("realised_sd"),
     )
+
+
+def by_source(entities: DataFrame, sources: DataFrame, entity: str, *, source=None, source_id=None) -> DataFrame:
+    """Entities with their source rows; of one source, or of one id in it."""
+    s = sources
+    if source is not None:
+        s = s.filter(F.col("source") == F.lit(source))
+    if source_id is not None:
+        s = s.filter(F.col("source_id") == F.lit(source_id))
+    return entities.join(s, entity)
+
+
+def info(entities: DataFrame, sources: DataFrame, entity: str) -> DataFrame:
+    """One row per entity: its columns, how many sources name it, their names and variants, sorted."""
+    s = sources.groupBy(entity).agg(F.countDistinct("source").alias("sources"), F.array_join(F.sort_array(F.collect_set("source")), ",").alias("source_names"), F.sort_array(F.collect_set("variant")).alias("variants"))
+    return entities.join(s, entity, "left").withColumns({"sources": F.coalesce("sources", F.lit(0)), "variants": F.coalesce("variants", F.array().cast("array<string>"))})
+
+
+def add_source(sources: DataFrame, new: DataFrame, entity: str) -> DataFrame:
+    """Source rows with the new ones whose (source, source_id) is free; of several new ones the least entity's."""
+    one = new.groupBy("source", "source_id").agg(F.min(F.struct(entity, "variant")).alias("r")).select("source", "source_id", "r.*")
+    return sources.unionByName(one.join(sources.select("source", "source_id"), ["source", "source_id"], "left_anti").select(*sources.columns))
+
+
+def load_players(raw: DataFrame, *, today: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(players, rejected) from a table of strings player_id, player_name (or name_first, name_last), dob, hand, height.
+
+    Ids of six digits and names of 1 to 50 characters enter, the first row of an id in the order of all its cells; what
+    isn't a valid date of birth, hand or height is null.
+    """
+    from ..functions.scalars import valid_dob, valid_hand, valid_height
+    from ..functions.similarity import player_key
+
+    name = F.trim("player_name") if "player_name" in raw.columns else F.trim(F.concat_ws(" ", "name_first", "name_last"))
+    cell = lambda c: F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string")
+    rows = raw.select(F.trim(cell("player_id")).try_cast("double").try_cast("long").alias("player_id"), name.alias("name"), *[cell(c).alias(c) for c in ("dob", "hand", "height")])
+    good = F.coalesce(F.col("player_id").between(100000, 999999) & F.length("name").between(1, 50), F.lit(False))
+    one = rows.filter(good).groupBy("player_id").agg(F.min(F.struct("name", "dob", "hand", "height")).alias("r")).select("player_id", "r.*")
+    players = one.select("player_id", F.col("name").alias("primary_name"), player_key(F.col("name")).alias("preprocessed_name"), valid_dob(F.col("dob"), today).alias("dob"), valid_hand(F.col("hand")).alias("hand"), valid_height(F.col("height")).alias("height"))
+    return players, rows.filter(~good)
+
+
+def metadata_summary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A row per column: rows, filled, and the share filled in percent."""
+    one = df.agg(F.count("*").alias("n"), *[F.count(c).alias(f"__{i}") for i, c in enumerate(columns)])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col("n").alias("rows"), F.col(f"__{i}").alias("filled")) for i, c in enumerate(columns)])
+    return one.select(F.inline(each)).withColumn("percent", F.round(F.try_divide(F.col("filled") * 100.0, F.col("rows")), 2))
+
+
+def events_summary(events: DataFrame, player: str = "player_id") -> DataFrame:
+    """One row: players, matches (events are two a match), and the average, greatest and least number of a player's events."""
+    per = events.groupBy(player).agg(F.count("*").alias("n"))
+    return per.agg(F.count("*").alias("players"), F.floor(F.sum("n") / 2).alias("matches"), F.avg("n").alias("average"), F.max("n").alias("most"), F.min("n").alias("fewest"))

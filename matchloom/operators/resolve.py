@@ -1,14 +1,18 @@
 """Entity resolution: staged joins, each passing on what it leaves open; doubtful rows go to a review table.
 
-Stages: known source id; exact name in the source; best similarity over registry variants that share a token; create.
-Decisions that people made are a table that comes first, in place of prompts.
+Tournaments: known source id (its name must be alike, else review); exact name in the source; best similarity over registry
+variants that share a token, by thresholds; create, in the level's range. Players: known source id; one exact name;
+best similarity; create. Decisions that people made are a table that comes first, in place of prompts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.similarity import player_key, player_similarity, tournament_similarity, valid_player_name
 from .linkage import best_by_similarity
 from .tables import allocate_ids
 
@@ -35,6 +39,7 @@ def resolve(mentions: DataFrame, registry: DataFrame, *, score: Column, tokens_o
     done.append(keyed.join(exact, ["source", "__n"]).drop("__n").withColumns({"action": F.lit("linked_name"), "score": F.lit(1.0)}))
     m = keyed.join(exact, ["source", "__n"], "left_anti").drop("__n")
     best = best_by_similarity(m, registry.select("entity_id", "variant").distinct(), "name", "variant", score, tokens_of, keep=1, least=review).select("name", "entity_id", "score")
+    best = best.groupBy("name").agg(F.min("entity_id").alias("entity_id"), F.max("score").alias("score"))
     near = m.join(best, "name")
     done.append(near.filter(F.col("score") >= automatic).withColumn("action", F.lit("linked_fuzzy")))
     doubtful = near.filter(F.col("score") < automatic)
@@ -49,5 +54,102 @@ def resolve(mentions: DataFrame, registry: DataFrame, *, score: Column, tokens_o
 
 
 def quality_report(resolved: DataFrame) -> DataFrame:
-    total = resolved.agg(F.count("*").alias("total"))
-    return resolved.groupBy("action").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("action", "n", F.round(F.col("n") * 100.0 / F.col("total"), 2).alias("percent"))
+    """Rows by action and their share in percent."""
+    n = resolved.groupBy("action").agg(F.count("*").alias("n"))
+    return n.withColumn("percent", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy(F.lit(1))), 2))
+
+
+OUTCOME = ["source", "source_id", "name", "entity_id", "action", "confidence", "score"]
+
+
+def _stages(m: DataFrame, stages: list) -> DataFrame:
+    """Each stage maps open mentions to outcomes; the next one gets those that have none."""
+    done = []
+    for stage in stages:
+        hit = stage(m).select(*OUTCOME)
+        done.append(hit)
+        m = m.join(hit.select("source", "source_id", "name"), ["source", "source_id", "name"], "left_anti")
+    return reduce(DataFrame.unionByName, done)
+
+
+def _said(df: DataFrame, action, confidence, score) -> DataFrame:
+    lit = lambda x: x if isinstance(x, Column) else F.lit(x)
+    return df.withColumns({"action": lit(action), "confidence": lit(confidence), "score": lit(score).cast("double")})
+
+
+def match_tournaments(mentions: DataFrame, registry: DataFrame, tokens_of, *, decisions: DataFrame | None = None, high: float = 0.8, review: float = 0.6, certain: float = 0.995) -> DataFrame:
+    """A row per distinct mention (source, source_id, name, level): entity_id, action, confidence, score.
+
+    registry: entity_id, source, source_id, variant. Actions: decided; known_id, or review_known_id if its best stored name
+    is less alike than high; same_name_new_id; fuzzy from certain on; confirm from high, review from review on, with the best
+    candidate; create_suggested, whose identifier registry.suggest_ids() gives by level.
+    """
+    m = mentions.select("source", "source_id", "name").distinct()
+    stages = []
+    if decisions is not None:
+        stages.append(lambda m: _said(m.join(decisions.select("source", "source_id", "entity_id"), ["source", "source_id"]), "decided", "high", 1.0))
+
+    def known(m: DataFrame) -> DataFrame:
+        ids = registry.groupBy("source", "source_id").agg(F.min("entity_id").alias("entity_id"))
+        hit = m.join(ids, ["source", "source_id"])
+        alike = hit.join(registry.select("entity_id", "variant").distinct(), "entity_id").withColumn("s", tournament_similarity(F.col("name"), F.col("variant")))
+        best = alike.groupBy("source", "source_id", "name", "entity_id").agg(F.max("s").alias("s"))
+        ok = F.col("s") >= high
+        return _said(best, F.when(ok, "known_id").otherwise("review_known_id"), F.when(ok, "high").otherwise("low"), F.col("s"))
+
+    def same_name(m: DataFrame) -> DataFrame:
+        exact = registry.groupBy("source", F.lower("variant").alias("__n")).agg(F.min("entity_id").alias("entity_id"))
+        return _said(m.withColumn("__n", F.lower("name")).join(exact, ["source", "__n"]), "same_name_new_id", "high", 1.0)
+
+    def fuzzy(m: DataFrame) -> DataFrame:
+        best = best_by_similarity(m, registry.select("entity_id", "variant").distinct(), "name", "variant", tournament_similarity(F.col("name"), F.col("variant")), tokens_of, keep=1, least=review)
+        hit = m.join(best.select("name", "entity_id", F.col("score").alias("s")), "name")
+        s = F.col("s")
+        return _said(hit, F.when(s >= certain, "fuzzy").when(s >= high, "confirm").otherwise("review"), F.when(s >= certain, "high").when(s >= high, "medium").otherwise("low"), s)
+
+    created = lambda m: _said(m.withColumn("entity_id", F.lit(None).cast(registry.schema["entity_id"].dataType)), "create_suggested", "high", 0.0)
+    return _stages(m, [*stages, known, same_name, fuzzy, created])
+
+
+def match_players(mentions: DataFrame, registry: DataFrame, tokens_of, *, automatic: bool = False, decisions: DataFrame | None = None, high: float = 0.8, medium: float = 0.6, base: int = 100000) -> DataFrame:
+    """A row per distinct mention (source, source_id, name): entity_id, action, confidence, score.
+
+    Actions: error (no valid name); decided; linked_exact (known id of a name alike from high on, or one player of that very
+    name); linked_fuzzy (automatic, from medium on); manual_needed, with the best candidate; created, numbered on.
+    """
+    kind = registry.schema["entity_id"].dataType
+    m = mentions.select("source", "source_id", "name").distinct()
+    none = F.lit(None).cast(kind)
+    stages = [lambda m: _said(m.filter(~valid_player_name(F.col("name")) | (player_key(F.col("name")) == "")).withColumn("entity_id", none), "error", "low", 0.0)]
+    if decisions is not None:
+        stages.append(lambda m: _said(m.join(decisions.select("source", "source_id", "entity_id"), ["source", "source_id"]), "decided", "high", 1.0))
+
+    def known(m: DataFrame) -> DataFrame:
+        ids = registry.groupBy("source", "source_id").agg(F.min(F.struct("entity_id", "variant")).alias("r")).select("source", "source_id", "r.*")
+        hit = m.join(ids, ["source", "source_id"]).withColumn("s", player_similarity(F.col("name"), F.col("variant")))
+        ok = F.col("s") >= high
+        return _said(hit, F.when(ok, "linked_exact").otherwise("manual_needed"), F.when(ok, "high").otherwise("low"), F.col("s"))
+
+    def by_name(m: DataFrame) -> DataFrame:
+        variants = registry.select("entity_id", "variant").distinct()
+        found = best_by_similarity(m, variants, "name", "variant", player_similarity(F.col("name"), F.col("variant")), tokens_of, keep=None, least=0.3)
+        per = found.groupBy("name", "entity_id").agg(F.max("score").alias("s"))
+        best = per.groupBy("name").agg(F.max(F.struct("s", (-F.col("entity_id")).alias("e"))).alias("b"), F.count_if(F.col("s") >= 0.99).alias("exact"))
+        hit = m.join(best, "name").select("source", "source_id", "name", (-F.col("b.e")).cast(kind).alias("entity_id"), F.col("b.s").alias("s"), "exact")
+        exact, fuzzy = F.col("exact") == 1, F.lit(automatic) & (F.col("s") >= medium)
+        return _said(hit, F.when(exact, "linked_exact").when(fuzzy, "linked_fuzzy").otherwise("manual_needed"), F.when(exact | (fuzzy & (F.col("s") >= high)), "high").when(fuzzy, "medium").otherwise("low"), F.col("s"))
+
+    def created(m: DataFrame) -> DataFrame:
+        ids = allocate_ids(registry.select("entity_id", F.col("variant").alias("name")), m, "entity_id", "name", base)
+        return _said(m.join(ids, "name"), "created", "high", 0.0)
+
+    return _stages(m, [*stages, known, by_name, created])
+
+
+def applied(df: DataFrame, outcome: DataFrame, *, source: str, source_id: str, name: str, into: str) -> DataFrame:
+    """df with the resolved identifier in into (its own where nothing was resolved), and into_original, into_action, into_confidence."""
+    o = outcome.select(F.col("source").alias("__s"), F.col("source_id").alias("__i"), F.col("name").alias("__n"), F.col("entity_id").alias("__e"), F.col("action").alias(f"{into}_action"), F.col("confidence").alias(f"{into}_confidence"))
+    j = df.join(o, (F.col(source) == F.col("__s")) & (F.col(source_id).cast("string") == F.col("__i")) & F.col(name).eqNullSafe(F.col("__n")), "left")
+    held = F.col(source_id) if into not in df.columns else F.col(into)
+    resolved = F.when(F.col(f"{into}_action").isin("manual_needed", "review", "confirm", "review_known_id", "error"), None).otherwise(F.col("__e"))
+    return j.withColumn(f"{into}_original", F.col(source_id)).withColumn(into, F.coalesce(resolved.cast("string"), held.cast("string"))).drop("__s", "__i", "__n", "__e")

@@ -9,8 +9,8 @@ from ..fixture import MATCH_SQL, matches
 from ..functions import scalars as S
 from ..functions.similarity import player_similarity, tournament_similarity
 from ..operators import backtest, linkage, rating, registry, resolve, tables
-from ..operators.asof import order_key
-from ..operators.events import player_events
+from ..operators.asof import DAY, last_k, order_key
+from ..operators.events import RAW, player_events
 from . import features as feat
 
 QUERIES: dict = {}
@@ -31,13 +31,27 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_M = f"m0 AS ({MATCH_SQL}), m AS (SELECT *, date_diff('day', DATE '1900-01-01', tourney_date) * 4294967296 + CAST(tourney_id AS BIGINT) * 4096 + 2048 - round_order AS kk FROM m0)"
-_E = _M + """, e AS (
-  SELECT seq, kk, tourney_date, tourney_id, tourney_level, surface, round, 1 AS side, player1_id AS player_id, player2_id AS opponent_id, CAST(RESULT AS INT) AS win,
-    p1_svpt AS svpt, "p1_1stIn" AS fin, p1_ace AS ace, p1_df AS df, p1_bpFaced AS faced, p1_bpSaved AS saved FROM m
-  UNION ALL
-  SELECT seq, kk, tourney_date, tourney_id, tourney_level, surface, round, 2, player2_id, player1_id, 1 - RESULT,
-    p2_svpt, "p2_1stIn", p2_ace, p2_df, p2_bpFaced, p2_bpSaved FROM m)"""
+_M = f"m0 AS ({MATCH_SQL}), m AS (SELECT *, date_diff('day', DATE '1900-01-01', tourney_date) * 8796093022208 + CAST(tourney_id AS BIGINT) * 4096 + 2048 - round_order AS kk FROM m0)"
+
+
+def _event(p: int) -> str:
+    o = 3 - p
+    raw = ", ".join(f'"p{p}_{c}" AS "{c}"' for c in RAW) + ", " + ", ".join(f'"p{o}_{c}" AS "o_{c}"' for c in ("svpt", "1stWon", "2ndWon", "bpFaced", "bpSaved"))
+    games = lambda x: " + ".join(f"p{x}_set{i}" for i in (1, 2, 3))
+    return f"""SELECT seq, kk, tourney_date, tourney_id, tourney_level, surface, round, {p} AS side, player{p}_id AS player_id, player{o}_id AS opponent_id,
+    CAST({'RESULT' if p == 1 else '1 - RESULT'} AS INT) AS win, {raw}, {games(p)} AS games, {games(o)} AS o_games FROM m"""
+
+
+_E = _M + f", e AS ({_event(1)} UNION ALL {_event(2)})"
+#: The series as the surveyed statistics define them.
+_SERVED = "svpt <> 0 AND svpt <> \"1stIn\""
+_SERIES = {
+    "p_spw": f'CASE WHEN {_SERVED} THEN 100 * (("1stWon" + "2ndWon") / svpt) END', "p_ace": f"CASE WHEN {_SERVED} THEN 100 * (ace / svpt) END", "p_df": f"CASE WHEN {_SERVED} THEN 100 * (df / svpt) END",
+    "p_ace_df": f"CASE WHEN {_SERVED} AND win = 1 THEN 100 * (ace / greatest(df, 1)) END", "p_df_2nd": f'CASE WHEN {_SERVED} THEN 100 * (df / (svpt - "1stIn")) END', "p_1stIn": f'CASE WHEN {_SERVED} THEN 100 * ("1stIn" / svpt) END',
+    "p_1stWon": 'CASE WHEN "1stIn" <> 0 THEN 100 * ("1stWon" / "1stIn") END', "p_2ndWon": f'CASE WHEN {_SERVED} THEN 100 * ("2ndWon" / (svpt - "1stIn")) END', "p_bpSaved": 'CASE WHEN "bpFaced" <> 0 THEN 100 * ("bpSaved" / "bpFaced") END',
+    "p_bpconv": 'CASE WHEN "o_bpFaced" <> 0 THEN 100 * (("o_bpSaved" - "o_bpFaced") / "o_bpFaced") END', "p_bp_rg": 'CASE WHEN "SvGms" <> 0 THEN 100 * ("bpFaced" / "SvGms") END',
+    "p_tpw": 'CASE WHEN svpt + o_svpt > 0 THEN 100 * (("1stWon" + "2ndWon" + (o_svpt - ("o_1stWon" + "o_2ndWon"))) / (svpt + o_svpt)) END', "set_windiff": "(games - o_games) / 5", "wins": "win",
+}
 _PRE = "ORDER BY kk RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
@@ -50,11 +64,18 @@ def _pair(cols: dict[str, str], source: str) -> str:
     return f"SELECT {', '.join(out)} FROM {source} GROUP BY seq"
 
 
-def _last_k(source: str, value: str, k: int, how: str, keep: str) -> str:
-    """CTEs r, post, pre: how(value) of the last k non-null values strictly before, as column v."""
-    return f"""r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY kk, seq) AS rn, ({value}) AS x, ({value}) IS NULL AS xn FROM {source}),
-post AS (SELECT *, CASE WHEN NOT xn THEN {how}(x) OVER (PARTITION BY player_id, xn ORDER BY rn ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) END AS p FROM r),
-pre AS (SELECT {keep}, arg_max(p, CASE WHEN p IS NOT NULL THEN rn END) OVER (PARTITION BY player_id {_PRE}) AS v FROM post)"""
+def _last_k(source: str, wanted: dict[str, tuple[int, ...]], keep: str) -> str:
+    """CTEs r, post, pre: of each series of _SERIES its average (wins: sum) over the last k non-null values strictly before."""
+    x = ", ".join(f'({_SERIES[n]}) AS "x_{n}"' for n in wanted)
+    places = [(n, k) for n, ks in wanted.items() for k in ks]
+    post = ", ".join(f"""CASE WHEN "x_{n}" IS NOT NULL THEN {'sum' if n == 'wins' else 'avg'}("x_{n}") OVER (PARTITION BY player_id, "x_{n}" IS NULL ORDER BY rn ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) END AS "q_{n}_{k}\"""" for n, k in places)
+    pre = ", ".join(f"""arg_max("q_{n}_{k}", CASE WHEN "q_{n}_{k}" IS NOT NULL THEN rn END) OVER (PARTITION BY player_id {_PRE}) AS "{n}_{k}\"""" for n, k in places)
+    return f"""r AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY kk, seq) AS rn, {x} FROM {source}), post AS (SELECT *, {post} FROM r), pre AS (SELECT {keep}, {pre} FROM post)"""
+
+
+def _near(x: str) -> str:
+    """Rounded; what lies between two values in the last place leans up in both engines."""
+    return f"round(CAST({x} AS DOUBLE) + 1e-9, 6)"
 
 
 def _typed(df: DataFrame, kind: str) -> DataFrame:
@@ -65,17 +86,93 @@ def _rounded(df: DataFrame, columns: list[str], n: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c in columns})
 
 
+def _leaning(df: DataFrame) -> DataFrame:
+    """As _near() in SQL: every column but seq a rounded double."""
+    return df.select("seq", *[F.round(F.col(c).cast("double") + 1e-9, 6).alias(c) for c in df.columns if c != "seq"])
+
+
 # ---- feature families
 
 
-@query(f"""WITH {_E}, c AS (SELECT *, count(*) OVER (PARTITION BY player_id {_PRE}) AS matches,
-  coalesce(sum(win) OVER (PARTITION BY player_id, opponent_id {_PRE}), 0) AS h2h,
-  coalesce(sum(win) OVER (PARTITION BY player_id, opponent_id, surface {_PRE}), 0) AS h2h_surface FROM e),
-{_last_k('c', 'win', 10, 'sum', 'seq, side, matches, h2h, h2h_surface')}, g AS (SELECT *, CASE WHEN matches >= 10 THEN v END AS wins_10 FROM pre)
-{_pair({c: 'BIGINT' for c in ('matches', 'h2h', 'h2h_surface', 'wins_10')}, 'g')}""")
+_COUNTS = f"""c AS (SELECT *, count(*) OVER (PARTITION BY player_id {_PRE}) AS matches,
+  coalesce(sum(win) OVER (PARTITION BY player_id, opponent_id {_PRE}), 0) AS h2h, coalesce(sum(win) OVER (PARTITION BY player_id, opponent_id, surface {_PRE}), 0) AS h2h_surface,
+  coalesce(sum(CASE WHEN round = 'F' THEN win ELSE 0 END) OVER (PARTITION BY player_id {_PRE}), 0) AS titles FROM e)"""
+
+
+def _two(name: str, p: int) -> str:
+    return f'max(CASE WHEN side = {p} THEN "{name}" END)'
+
+
+def _plain(name: str, sides: bool = True, safe: bool = False) -> list[str]:
+    a, b = _two(name, 1), _two(name, 2)
+    diff = f"CASE WHEN {a} IS NOT NULL OR {b} IS NOT NULL THEN coalesce({a}, 0) - coalesce({b}, 0) END" if safe else f"{a} - {b}"
+    return [*([f'{_near(a)} AS "{name}_p1"', f'{_near(b)} AS "{name}_p2"'] if sides else []), f'{_near(diff)} AS "{name}_diff"']
+
+
+def _gated(k: int) -> list[str]:
+    a, b = _two(f"wins_{k}", 1), _two(f"wins_{k}", 2)
+    open_ = f"{_two('matches', 1)} >= {k} AND {_two('matches', 2)} >= {k}"
+    return [f"{_near(f'CASE WHEN {open_} THEN {a} END')} AS wins_{k}_p1", f"{_near(f'CASE WHEN {open_} THEN {b} END')} AS wins_{k}_p2", f"{_near(f'CASE WHEN {open_} THEN {a} - {b} ELSE 0 END')} AS wins_{k}_diff"]
+
+
+_CORE = ("matches", "h2h", "h2h_surface")
+
+
+@query(f"""WITH {_E}, {_COUNTS}, {_last_k('c', {'wins': (10,)}, 'seq, side, matches, h2h, h2h_surface')}
+SELECT seq, {', '.join([x for c in _CORE for x in _plain(c)] + _gated(10))} FROM pre GROUP BY seq""")
 def features_core(spark, sf_dir):
     """Matches played, head-to-head, wins in the last ten."""
-    return _typed(feat.core(matches(spark, sf_dir)), "long")
+    return _leaning(feat.core(matches(spark, sf_dir)))
+
+
+_LAST, _SHORT = feat.LAST, feat.SHORT
+
+
+@query(f"""WITH {_E}, {_COUNTS}, {_last_k('c', {'wins': _LAST, 'set_windiff': _LAST}, 'seq, side, matches')},
+z AS (SELECT * REPLACE ({', '.join(f'coalesce(set_windiff_{k}, 0) AS set_windiff_{k}' for k in _LAST)}) FROM pre)
+SELECT seq, {', '.join([x for k in _LAST for x in (*_gated(k), *_plain(f'set_windiff_{k}'))])} FROM z GROUP BY seq""")
+def features_form(spark, sf_dir):
+    """Wins in the last 5 to 200 of both players, and games won more than lost."""
+    out = feat.features(matches(spark, sf_dir), elo=False)
+    return _leaning(out.select("seq", *[f"{c}_{k}_{s}" for k in _LAST for c in ("wins", "set_windiff") for s in ("p1", "p2", "diff")]))
+
+
+@query(f"""WITH {_E}, {_last_k('e', {s: _SHORT for s in feat.RATIOS}, 'seq, side')}
+SELECT seq, {', '.join(x for s in feat.RATIOS for k in _SHORT for x in _plain(f'{s}_{k}', False, True))} FROM pre GROUP BY seq""")
+def features_ratios(spark, sf_dir):
+    """The ten serve and return ratios over the last 5, 10, 25 and 50, as differences."""
+    out = feat.features(matches(spark, sf_dir), elo=False)
+    return _leaning(out.select("seq", *[f"{s}_{k}_diff" for s in feat.RATIOS for k in _SHORT]))
+
+
+@query(f"""WITH {_E}, {_last_k('e', {s: _LAST for s in feat.LONG_RATIOS}, 'seq, side')}
+SELECT seq, {', '.join(x for s in feat.LONG_RATIOS for k in _LAST for x in _plain(f'{s}_{k}', False, True))} FROM pre GROUP BY seq""")
+def features_points(spark, sf_dir):
+    """Break points saved and total points won over the last 5 to 200, as differences."""
+    out = feat.features(matches(spark, sf_dir), elo=False)
+    return _leaning(out.select("seq", *[f"{s}_{k}_diff" for s in feat.LONG_RATIOS for k in _LAST]))
+
+
+@query(f"""WITH {_M} SELECT seq, best_of, draw_size, {', '.join(f'CAST(coalesce(player1_{c}, {v}) - coalesce(player2_{c}, {v}) AS DOUBLE) AS {c}_diff' for c, v in feat.ATTRIBUTES.items())} FROM m""")
+def features_attributes(spark, sf_dir):
+    return feat.attributes(matches(spark, sf_dir))
+
+
+_SHARES = {"round": ("round", 100), "tourn": ("tourney_id", 1), "level": ("tourney_level", 1)}
+
+
+def _share_sql(n: str) -> str:
+    c, scale = _SHARES[n]
+    of = f"OVER (PARTITION BY player_id, {c} {_PRE})"
+    return f"CAST(count(*) {of} > 0 AS INT) AS {n}_played, CASE WHEN count(*) {of} > 0 THEN sum(win) {of} * {scale}.0 / count(*) {of} ELSE 0 END AS {n}_pct"
+
+
+@query(f"""WITH {_E}, c AS (SELECT seq, side, {', '.join(map(_share_sql, _SHARES))} FROM e)
+SELECT seq, {', '.join(f'{_near(_two(f"{n}_{w}", p))} AS {n}_{w}_p{p}' for n in _SHARES for w in ('played', 'pct') for p in (1, 2))} FROM c GROUP BY seq""")
+def features_history(spark, sf_dir):
+    """Whether a player has played in the round, tournament and level, and the share won there."""
+    out = feat.features(matches(spark, sf_dir), elo=False)
+    return _leaning(out.select("seq", *[f"{n}_{w}_p{p}" for n in feat.HISTORY for w in ("played", "pct") for p in (1, 2)]))
 
 
 @query(f"""WITH {_E}, c AS (SELECT seq, side, coalesce(sum(CASE WHEN round = 'F' THEN win ELSE 0 END) OVER (PARTITION BY player_id {_PRE}), 0) AS titles,
@@ -88,18 +185,6 @@ def features_records(spark, sf_dir):
     return _typed(feat.paired(e, ["titles", "round_wins", "round_n", "tourn_wins", "tourn_n", "level_wins", "level_n"]), "long")
 
 
-@query(f"WITH {_E}, {_last_k('e', 'CASE WHEN svpt > 0 THEN ace * 100.0 / svpt END', 10, 'avg', 'seq, side')}, g AS (SELECT seq, side, v AS p_ace_10 FROM pre), q AS ({_pair({'p_ace_10': 'DOUBLE'}, 'g')}) SELECT seq, round(p_ace_10_p1, 6) AS p_ace_10_p1, round(p_ace_10_p2, 6) AS p_ace_10_p2, round(p_ace_10_diff, 6) AS p_ace_10_diff FROM q")
-def features_ace_ratio(spark, sf_dir):
-    e = feat.ratios(player_events(matches(spark, sf_dir)), ("p_ace",), (10,))
-    return _rounded(feat.paired(e, ["p_ace_10"]), ["p_ace_10_p1", "p_ace_10_p2", "p_ace_10_diff"])
-
-
-@query(f"WITH {_E}, {_last_k('e', 'CASE WHEN faced > 0 THEN saved * 100.0 / faced END', 5, 'avg', 'seq, side')}, g AS (SELECT seq, side, v AS p_bpSaved_5 FROM pre), q AS ({_pair({'p_bpSaved_5': 'DOUBLE'}, 'g')}) SELECT seq, round(p_bpSaved_5_p1, 6) AS p_bpSaved_5_p1, round(p_bpSaved_5_p2, 6) AS p_bpSaved_5_p2, round(p_bpSaved_5_diff, 6) AS p_bpSaved_5_diff FROM q")
-def features_break_points(spark, sf_dir):
-    e = feat.ratios(player_events(matches(spark, sf_dir)), ("p_bpSaved",), (5,))
-    return _rounded(feat.paired(e, ["p_bpSaved_5"]), ["p_bpSaved_5_p1", "p_bpSaved_5_p2", "p_bpSaved_5_diff"])
-
-
 _OFF = "CASE round WHEN 'R128' THEN 1 WHEN 'R64' THEN 2 WHEN 'R32' THEN 3 WHEN 'R16' THEN 4 WHEN 'QF' THEN 5 WHEN 'SF' THEN 6 WHEN 'F' THEN 7 ELSE 0 END"
 
 
@@ -115,9 +200,24 @@ def features_activity(spark, sf_dir):
 
 @query()
 def features_all(spark, sf_dir):
-    """Every family that features.py has, at once (prematch); the README lists those it lacks."""
-    out = feat.features(matches(spark, sf_dir))
-    return _rounded(out, [c for c, t in out.dtypes if t == "double"])
+    """All 150 features before each match, ratings among them. The others' SQL is that of the families' queries."""
+    return _leaning(feat.features(matches(spark, sf_dir)))
+
+
+@query()
+def features_both(spark, sf_dir):
+    """Before each match and with it, side by side."""
+    return _leaning(feat.features(matches(spark, sf_dir), "both"))
+
+
+@query(f"""WITH {_E}, x AS (SELECT e.* REPLACE (kk * 2 + s AS kk, CASE WHEN s = 0 THEN win END AS win), s FROM e, (VALUES (0), (1)) t(s)),
+c AS (SELECT seq, side, s, coalesce(sum(1 - s) OVER (PARTITION BY player_id {_PRE}), 0) AS matches, coalesce(sum(win) OVER (PARTITION BY player_id, opponent_id {_PRE}), 0) AS h2h,
+  coalesce(sum(CASE WHEN round = 'F' THEN win ELSE 0 END) OVER (PARTITION BY player_id {_PRE}), 0) AS titles FROM x)
+SELECT seq, {', '.join(x for c in ('matches', 'h2h', 'titles') for x in _plain(c))} FROM c WHERE s = 1 GROUP BY seq""")
+def features_current(spark, sf_dir):
+    """Counts with the match itself behind the players."""
+    out = feat.features(matches(spark, sf_dir), "current", elo=False)
+    return _leaning(out.select("seq", *[f"{c}_{s}" for c in ("matches", "h2h", "titles") for s in ("p1", "p2", "diff")]))
 
 
 # ---- ratings
@@ -143,11 +243,11 @@ def elo_replay(spark, sf_dir):
 
 @query()
 def elo_gradient(spark, sf_dir):
-    from ..operators.asof import last_k
-
-    r = rating.rate(matches(spark, sf_dir)).filter("rating_type = 'general'")
-    g = last_k(r, ["player_id"], F.col("post"), 10, "elo_grad_10", "gradient").withColumn("elo_grad_10", F.coalesce("elo_grad_10", F.lit(0.0)))
-    return _rounded(g.select("seq", "player_id", "elo_grad_10"), ["elo_grad_10"])
+    """Mean change of rating per match over the last 5 to 200, general and by surface."""
+    r = rating.rate(matches(spark, sf_dir))
+    r = last_k(r, ["rating_type", "player_id"], {"elo_grad": (F.col("post"), feat.LAST, "gradient")})
+    names = [f"elo_grad_{k}" for k in feat.LAST]
+    return r.select("seq", "player_id", "rating_type", *[F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c) for c in names])
 
 
 # ---- scalars
@@ -446,7 +546,7 @@ def history_without(spark, sf_dir):
 def history_before(spark, sf_dir):
     """The history cut off at the first order key of a date."""
     e = player_events(matches(spark, sf_dir))
-    first = F.datediff(F.lit("1996-01-01").cast("date"), F.lit("1900-01-01").cast("date")).cast("long") * 4294967296
+    first = F.datediff(F.lit("1996-01-01").cast("date"), F.lit("1900-01-01").cast("date")).cast("long") * DAY
     return registry.before_key(e, first).groupBy("player_id").agg(F.count("*").alias("n"))
 
 
@@ -497,5 +597,8 @@ def backtest_edges(spark, sf_dir):
 
 @query()
 def registry_doubtful(spark, sf_dir):
-    """Brands whose parts' names are unlike one another."""
+    """Pairs of a brand's part names that are unlike each other, all pairs compared."""
     return registry.doubtful_variants(_read(spark, sf_dir, "part"), "p_brand", "p_name", tournament_similarity)
+
+
+from . import more as _more  # noqa: E402, F401  registers its queries

@@ -52,7 +52,7 @@ def test_last_k_under_ties(spark):
     rng = random.Random(4)
     ev = [(i, rng.randrange(4), rng.randrange(30), None if rng.random() < 0.25 else rng.random()) for i in range(500)]
     df = spark.createDataFrame(ev, "seq long, e int, kk long, v double").repartition(5)
-    got = {r.seq: (r.x, r.g) for r in asof.last_k(asof.last_k(df, ["e"], F.col("v"), 5, "x"), ["e"], F.col("v"), 5, "g", "gradient").collect()}
+    got = {r.seq: (r.x, r.g) for r in asof.last_k(df, ["e"], {"x": (F.col("v"), (3, 5), "avg"), "g": (F.col("v"), (1, 5), "gradient")}).withColumnsRenamed({"x_5": "x", "g_5": "g"}).collect()}
     for i, e, k, _ in ev:
         past = [x[3] for x in sorted((x for x in ev if x[1] == e and x[2] < k and x[3] is not None), key=lambda x: (x[2], x[0]))][-5:]
         want = sum(past) / len(past) if past else None
