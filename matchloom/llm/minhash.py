@@ -121,22 +121,23 @@ def alignment(a: np.ndarray, b: np.ndarray, similarity: float) -> float:
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, k: int, entries: int, ell: int) -> DataFrame:
-    """doc_id, key (equal for equal texts), sketch; texts without words have an empty sketch."""
+    """doc_id, key (equal for equal texts), sketch, size (number of k-mers); texts without words have an empty sketch."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null and text is not null")
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("key", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.LongType()))])
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("key", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("size", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Words(alnum_mask())
         for b in batches:
             words, _, _, first = split(*arrow_bytes(b["text"]))
-            out = []
-            keys = []
+            out, keys, sizes = [], [], []
             for i in range(b.num_rows):
                 w = words[first[i] : first[i + 1]]
-                out.append(sketch(labelled(kmers(w, k)), entries, ell))
+                labels = labelled(kmers(w, k))
+                out.append(sketch(labels, entries, ell))
+                sizes.append(len(labels))
                 keys.append(_key(w) if len(w) else b"\0" + b["text"][i].as_py().encode())
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)), pa.array(np.concatenate(out) if out else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(keys, pa.binary()), lists], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(keys, pa.binary()), lists, pa.array(sizes, pa.int32())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -187,19 +188,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) ->
     return both.select("a", "b", "wa", "wb").mapInArrow(verify, out)
 
 
-def _stars(members: DataFrame, leaders: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) to compare of up to so many leaders of each bucket and its other texts; and who led (bucket, doc_id).
+def _able(first: DataFrame, members: DataFrame, similarity: float, ordered: bool) -> DataFrame:
+    """Pairs (a, b) of leaders (bucket, p, of, p_size, p_at) and other texts of their buckets that may be similar.
 
-    members: (bucket, doc_id, class, score, size, at, lead). Of those who may lead the greatest score goes first. A leader
-    meets texts of its length or more, and what follows place at of size k-mers bounds how many two texts can share.
+    What follows place at of size k-mers bounds how many two texts can share. ordered: leaders meet texts of their length
+    or more only.
     """
     need = similarity / (1 + similarity)
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(leaders)).alias("slot")
-    best = F.min(F.struct((-F.col("score")).alias("score"), "doc_id", "class", "size", "at")).alias("p")
-    first = members.filter("lead").groupBy("bucket", slot).agg(best).select("bucket", F.col("p.doc_id").alias("p"), F.col("p.class").alias("of"), F.col("p.size").alias("p_size"), F.col("p.at").alias("p_at"))
     able = F.least(F.col("p_size") - F.col("p_at"), F.col("size") - F.col("at")) >= need * (F.col("p_size") + F.col("size")) - 1e-9
-    star = first.join(members, "bucket").filter((F.col("of") != F.col("class")) & (F.col("size") >= F.col("p_size")) & able)
-    return star.select(F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")).distinct(), first.select("bucket", F.col("p").alias("doc_id"))
+    star = first.join(members, "bucket").filter((F.col("of") != F.col("class")) & able)
+    star = star.filter("size >= p_size") if ordered else star
+    return star.select(F.least("p", "doc_id").alias("a"), F.greatest("p", "doc_id").alias("b")).distinct()
+
+
+def _leaders(members: DataFrame, slots: int) -> DataFrame:
+    """Up to so many leaders of each bucket: of those who may lead and fall into a slot, that of the greatest score."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots)).alias("slot")
+    best = F.min(F.struct((-F.col("score")).alias("score"), "doc_id", "class", "size", "at")).alias("p")
+    return members.filter("lead").groupBy("bucket", slot).agg(best).select("bucket", F.col("p.doc_id").alias("p"), F.col("p.class").alias("of"), F.col("p.size").alias("p_size"), F.col("p.at").alias("p_at"))
 
 
 def _classed(rows: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
@@ -258,18 +264,21 @@ def _rare(texts: DataFrame, k: int, similarity: float) -> DataFrame:
     return rows.select("bucket", "doc_id", "score", "size", (F.col("skipped") + F.col("place")).alias("at")).withColumn("lead", F.col("at") < leads)
 
 
-def links(nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, entries: int = 12, ell: int = 3) -> DataFrame:
-    """(a, b) verified links between nodes (doc_id, sketch), one per text: enough of them to connect each class."""
-    buckets = nodes.select("doc_id", F.explode("sketch").alias("bucket"))
+def links(nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, entries: int = 12, ell: int = 3, at_once: int = 4096) -> DataFrame:
+    """(a, b) verified links between nodes (doc_id, sketch, size), one per text: enough of them to connect each class.
+
+    Once no bucket has more than at_once texts that have still to lead, all of them do, in one round.
+    """
+    buckets = nodes.select("doc_id", "size", F.explode("sketch").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    some = [F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("at"), F.lit(True).alias("lead")]
-    members = written(buckets.join(shared.hint("merge"), "bucket").select("bucket", "doc_id", F.col("doc_id").alias("class"), *some), "members")
+    members = buckets.join(shared.hint("merge"), "bucket").select("bucket", "doc_id", F.col("doc_id").alias("class"), F.lit(0.0).alias("score"), "size", F.lit(0).alias("at"), F.lit(True).alias("lead"))
+    members = written(members, "members")
     texts = written(_word_table(docs, members.select("doc_id").distinct(), id_col, text_col).dropDuplicates(["doc_id"]), "words")
 
     def similar(pairs: DataFrame) -> DataFrame:
         return written(_verified(pairs, texts, k, similarity).filter("similar").select("a", "b"), "links")
 
-    known = similar(_stars(members, 1, similarity)[0])
+    known = similar(_able(_leaders(members, 1), members, similarity, False))
     # a node's class is itself until it is linked
     own = members.select("doc_id", "class").distinct()
     left = written(_mixed(_classed(members, known, own)).groupBy("doc_id").agg(F.min("class").alias("class")), "left")
@@ -277,17 +286,22 @@ def links(nodes: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col
     if left.isEmpty():
         return known
     rare = _rare(texts.join(left.hint("merge"), "doc_id", "left_semi"), k, similarity).join(left.hint("merge"), "doc_id")
-    open_, leaders = written(_mixed(rare.select("bucket", "doc_id", "class", "score", "size", "at", "lead")), "rare"), 4
+    open_, slots = written(_mixed(rare.select("bucket", "doc_id", "class", "score", "size", "at", "lead")), "rare"), 4
     while not open_.isEmpty():
-        pairs, led = _stars(open_, leaders, similarity)
-        found = similar(pairs)
-        after = open_.join(led.withColumn("__led", F.lit(True)).hint("merge"), ["bucket", "doc_id"], "left").withColumn("lead", F.col("lead") & F.col("__led").isNull()).select(open_.columns)
+        most = open_.groupBy("bucket").agg(F.count_if("lead").alias("n")).agg(F.max("n")).first()[0]
+        if slots > 4 and most <= at_once:
+            every = open_.filter("lead").select("bucket", F.col("doc_id").alias("p"), F.col("class").alias("of"), F.col("size").alias("p_size"), F.col("at").alias("p_at"))
+            return known.union(similar(_able(every, open_, similarity, True)))
+        first = _leaders(open_, slots)
+        found = similar(_able(first, open_, similarity, True))
+        led = first.select("bucket", F.col("p").alias("doc_id"), F.lit(True).alias("__led"))
+        after = open_.join(led.hint("merge"), ["bucket", "doc_id"], "left").withColumn("lead", F.col("lead") & F.col("__led").isNull()).select(open_.columns)
         if not found.isEmpty():
             known = known.union(found)
             after = _classed(after, found, open_.select("doc_id", "class").distinct())
         before, open_ = open_, written(_mixed(after), "open")
         drop(before)
-        leaders = 1 << 10 if leaders == 4 else 1 << 62
+        slots *= 16
     return known
 
 
@@ -299,7 +313,7 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     firsts = sketched.groupBy("key").agg(F.min("doc_id").alias("first"))
     member = written(sketched.select("doc_id", "key").join(firsts, "key").select("doc_id", "first").distinct(), "first")
     nodes = sketched.join(firsts.select(F.col("first").alias("doc_id")).hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    found = links(nodes.select("doc_id", "sketch"), docs, id_col=id_col, text_col=text_col, k=k, similarity=similarity, entries=entries, ell=ell)
+    found = links(nodes.select("doc_id", "sketch", "size"), docs, id_col=id_col, text_col=text_col, k=k, similarity=similarity, entries=entries, ell=ell)
     # an id that repeats with other texts belongs with all of them
     same = member.groupBy("doc_id").agg(F.min("first").alias("u"), F.max("first").alias("v")).filter("u != v").select("u", "v")
     roots = components(found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(same), label="classes")
