@@ -7,8 +7,6 @@ best similarity; create. Decisions that people made are a table that comes first
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,19 +60,21 @@ def quality_report(resolved: DataFrame) -> DataFrame:
 OUTCOME = ["source", "source_id", "name", "entity_id", "action", "confidence", "score"]
 
 
-def _stages(m: DataFrame, stages: list) -> DataFrame:
-    """Each stage maps open mentions to outcomes; the next one gets those that have none."""
-    done = []
-    for stage in stages:
-        hit = stage(m).select(*OUTCOME)
-        done.append(hit)
-        m = m.join(hit.select("source", "source_id", "name"), ["source", "source_id", "name"], "left_anti")
-    return reduce(DataFrame.unionByName, done)
+def _first(*stages: tuple[Column, Column, Column, Column, Column]) -> list[Column]:
+    """entity_id, action, confidence and score of the first stage, in this order, whose condition (its first part) holds."""
+    out = []
+    for i, name in enumerate(("entity_id", "action", "confidence", "score"), 1):
+        c = None
+        for stage in stages:
+            c = F.when(stage[0], stage[i]) if c is None else c.when(stage[0], stage[i])
+        out.append(c.alias(name))
+    return out
 
 
-def _said(df: DataFrame, action, confidence, score) -> DataFrame:
-    lit = lambda x: x if isinstance(x, Column) else F.lit(x)
-    return df.withColumns({"action": lit(action), "confidence": lit(confidence), "score": lit(score).cast("double")})
+def _decided(m: DataFrame, decisions: DataFrame | None, kind) -> DataFrame:
+    if decisions is None:
+        return m.withColumn("__d", F.lit(None).cast(kind))
+    return m.join(decisions.groupBy("source", "source_id").agg(F.min("entity_id").cast(kind).alias("__d")), ["source", "source_id"], "left")
 
 
 def match_tournaments(mentions: DataFrame, registry: DataFrame, tokens_of, *, decisions: DataFrame | None = None, high: float = 0.8, review: float = 0.6, certain: float = 0.995) -> DataFrame:
@@ -82,33 +82,31 @@ def match_tournaments(mentions: DataFrame, registry: DataFrame, tokens_of, *, de
 
     registry: entity_id, source, source_id, variant. Actions: decided; known_id, or review_known_id if its best stored name
     is less alike than high; same_name_new_id; fuzzy from certain on; confirm from high, review from review on, with the best
-    candidate; create_suggested, whose identifier registry.suggest_ids() gives by level.
+    candidate; create_suggested, whose identifier registry.suggest_ids() gives by level. Every stage is a left join that
+    adds its columns, and only names that the exact ones leave open are compared with variants.
     """
-    m = mentions.select("source", "source_id", "name").distinct()
-    stages = []
-    if decisions is not None:
-        stages.append(lambda m: _said(m.join(decisions.select("source", "source_id", "entity_id"), ["source", "source_id"]), "decided", "high", 1.0))
-
-    def known(m: DataFrame) -> DataFrame:
-        ids = registry.groupBy("source", "source_id").agg(F.min("entity_id").alias("entity_id"))
-        hit = m.join(ids, ["source", "source_id"])
-        alike = hit.join(registry.select("entity_id", "variant").distinct(), "entity_id").withColumn("s", tournament_similarity(F.col("name"), F.col("variant")))
-        best = alike.groupBy("source", "source_id", "name", "entity_id").agg(F.max("s").alias("s"))
-        ok = F.col("s") >= high
-        return _said(best, F.when(ok, "known_id").otherwise("review_known_id"), F.when(ok, "high").otherwise("low"), F.col("s"))
-
-    def same_name(m: DataFrame) -> DataFrame:
-        exact = registry.groupBy("source", F.lower("variant").alias("__n")).agg(F.min("entity_id").alias("entity_id"))
-        return _said(m.withColumn("__n", F.lower("name")).join(exact, ["source", "__n"]), "same_name_new_id", "high", 1.0)
-
-    def fuzzy(m: DataFrame) -> DataFrame:
-        best = best_by_similarity(m, registry.select("entity_id", "variant").distinct(), "name", "variant", tournament_similarity(F.col("name"), F.col("variant")), tokens_of, keep=1, least=review)
-        hit = m.join(best.select("name", "entity_id", F.col("score").alias("s")), "name")
-        s = F.col("s")
-        return _said(hit, F.when(s >= certain, "fuzzy").when(s >= high, "confirm").otherwise("review"), F.when(s >= certain, "high").when(s >= high, "medium").otherwise("low"), s)
-
-    created = lambda m: _said(m.withColumn("entity_id", F.lit(None).cast(registry.schema["entity_id"].dataType)), "create_suggested", "high", 0.0)
-    return _stages(m, [*stages, known, same_name, fuzzy, created])
+    kind = registry.schema["entity_id"].dataType
+    m = _decided(mentions.select("source", "source_id", "name").distinct(), decisions, kind)
+    ids = registry.groupBy("source", "source_id").agg(F.min("entity_id").alias("__i"))
+    m = m.join(ids, ["source", "source_id"], "left")
+    variants = registry.select("entity_id", "variant").distinct()
+    known = m.filter("__d is null and __i is not null").select("name", "__i").distinct().join(variants.withColumnRenamed("entity_id", "__i"), "__i")
+    known = known.withColumn("s", tournament_similarity(F.col("name"), F.col("variant"))).groupBy("__i", "name").agg(F.max("s").alias("__is"))
+    m = m.join(known, ["__i", "name"], "left")
+    exact = registry.groupBy("source", F.lower("variant").alias("__n")).agg(F.min("entity_id").alias("__e"))
+    m = m.withColumn("__n", F.lower("name")).join(exact, ["source", "__n"], "left")
+    names = m.filter("__d is null and __i is null and __e is null").select("name")
+    best = best_by_similarity(names, variants, "name", "variant", tournament_similarity(F.col("name"), F.col("variant")), tokens_of, keep=1, least=review).select("name", F.col("entity_id").alias("__f"), F.col("score").alias("__fs"))
+    m = m.join(best, "name", "left")
+    text, s, t = F.lit, F.col("__is"), F.col("__fs")
+    stages = [
+        (F.col("__d").isNotNull(), F.col("__d"), text("decided"), text("high"), F.lit(1.0)),
+        (F.col("__i").isNotNull(), F.col("__i"), F.when(s >= high, "known_id").otherwise("review_known_id"), F.when(s >= high, "high").otherwise("low"), s),
+        (F.col("__e").isNotNull(), F.col("__e"), text("same_name_new_id"), text("high"), F.lit(1.0)),
+        (F.col("__f").isNotNull(), F.col("__f"), F.when(t >= certain, "fuzzy").when(t >= high, "confirm").otherwise("review"), F.when(t >= certain, "high").when(t >= high, "medium").otherwise("low"), t),
+        (F.lit(True), F.lit(None).cast(kind), text("create_suggested"), text("high"), F.lit(0.0)),
+    ]
+    return m.select("source", "source_id", "name", *_first(*stages)).select(*OUTCOME)
 
 
 def match_players(mentions: DataFrame, registry: DataFrame, tokens_of, *, automatic: bool = False, decisions: DataFrame | None = None, high: float = 0.8, medium: float = 0.6, base: int = 100000) -> DataFrame:
@@ -118,32 +116,27 @@ def match_players(mentions: DataFrame, registry: DataFrame, tokens_of, *, automa
     name); linked_fuzzy (automatic, from medium on); manual_needed, with the best candidate; created, numbered on.
     """
     kind = registry.schema["entity_id"].dataType
-    m = mentions.select("source", "source_id", "name").distinct()
-    none = F.lit(None).cast(kind)
-    stages = [lambda m: _said(m.filter(~valid_player_name(F.col("name")) | (player_key(F.col("name")) == "")).withColumn("entity_id", none), "error", "low", 0.0)]
-    if decisions is not None:
-        stages.append(lambda m: _said(m.join(decisions.select("source", "source_id", "entity_id"), ["source", "source_id"]), "decided", "high", 1.0))
-
-    def known(m: DataFrame) -> DataFrame:
-        ids = registry.groupBy("source", "source_id").agg(F.min(F.struct("entity_id", "variant")).alias("r")).select("source", "source_id", "r.*")
-        hit = m.join(ids, ["source", "source_id"]).withColumn("s", player_similarity(F.col("name"), F.col("variant")))
-        ok = F.col("s") >= high
-        return _said(hit, F.when(ok, "linked_exact").otherwise("manual_needed"), F.when(ok, "high").otherwise("low"), F.col("s"))
-
-    def by_name(m: DataFrame) -> DataFrame:
-        variants = registry.select("entity_id", "variant").distinct()
-        found = best_by_similarity(m, variants, "name", "variant", player_similarity(F.col("name"), F.col("variant")), tokens_of, keep=None, least=0.3)
-        per = found.groupBy("name", "entity_id").agg(F.max("score").alias("s"))
-        best = per.groupBy("name").agg(F.max(F.struct("s", (-F.col("entity_id")).alias("e"))).alias("b"), F.count_if(F.col("s") >= 0.99).alias("exact"))
-        hit = m.join(best, "name").select("source", "source_id", "name", (-F.col("b.e")).cast(kind).alias("entity_id"), F.col("b.s").alias("s"), "exact")
-        exact, fuzzy = F.col("exact") == 1, F.lit(automatic) & (F.col("s") >= medium)
-        return _said(hit, F.when(exact, "linked_exact").when(fuzzy, "linked_fuzzy").otherwise("manual_needed"), F.when(exact | (fuzzy & (F.col("s") >= high)), "high").when(fuzzy, "medium").otherwise("low"), F.col("s"))
-
-    def created(m: DataFrame) -> DataFrame:
-        ids = allocate_ids(registry.select("entity_id", F.col("variant").alias("name")), m, "entity_id", "name", base)
-        return _said(m.join(ids, "name"), "created", "high", 0.0)
-
-    return _stages(m, [*stages, known, by_name, created])
+    m = _decided(mentions.select("source", "source_id", "name").distinct(), decisions, kind)
+    m = m.withColumn("__bad", ~valid_player_name(F.col("name")) | F.coalesce(player_key(F.col("name")) == "", F.lit(True)))
+    ids = registry.groupBy("source", "source_id").agg(F.min(F.struct("entity_id", "variant")).alias("__r")).select("source", "source_id", F.col("__r.entity_id").alias("__i"), F.col("__r.variant").alias("__v"))
+    m = m.join(ids, ["source", "source_id"], "left").withColumn("__is", player_similarity(F.coalesce("name", F.lit("")), F.coalesce("__v", F.lit(""))))
+    open_ = m.filter("not __bad and __d is null and __i is null").select("name").distinct()
+    found = best_by_similarity(open_, registry.select("entity_id", "variant").distinct(), "name", "variant", player_similarity(F.col("name"), F.col("variant")), tokens_of, keep=None, least=0.3)
+    per = found.groupBy("name", "entity_id").agg(F.max("score").alias("s"))
+    best = per.groupBy("name").agg(F.max(F.struct("s", (-F.col("entity_id")).alias("e"))).alias("b"), F.count_if(F.col("s") >= 0.99).alias("__exact"))
+    named = open_.join(best.select("name", (-F.col("b.e")).cast(kind).alias("__f"), F.col("b.s").alias("__fs"), "__exact"), "name", "left")
+    new = allocate_ids(registry.select("entity_id", F.col("variant").alias("name")), named.filter("__f is null"), "entity_id", "name", base).select("name", F.col("entity_id").cast(kind).alias("__c"))
+    m = m.join(named.join(new, "name", "left"), "name", "left")
+    text, s, t = F.lit, F.col("__is"), F.col("__fs")
+    exact, fuzzy = F.col("__exact") == 1, F.lit(automatic) & (t >= medium)
+    stages = [
+        (F.col("__bad"), F.lit(None).cast(kind), text("error"), text("low"), F.lit(0.0)),
+        (F.col("__d").isNotNull(), F.col("__d"), text("decided"), text("high"), F.lit(1.0)),
+        (F.col("__i").isNotNull(), F.col("__i"), F.when(s >= high, "linked_exact").otherwise("manual_needed"), F.when(s >= high, "high").otherwise("low"), s),
+        (F.col("__f").isNotNull(), F.col("__f"), F.when(exact, "linked_exact").when(fuzzy, "linked_fuzzy").otherwise("manual_needed"), F.when(exact | (fuzzy & (t >= high)), "high").when(fuzzy, "medium").otherwise("low"), t),
+        (F.lit(True), F.col("__c"), text("created"), text("high"), F.lit(0.0)),
+    ]
+    return m.select("source", "source_id", "name", *_first(*stages)).select(*OUTCOME)
 
 
 def applied(df: DataFrame, outcome: DataFrame, *, source: str, source_id: str, name: str, into: str) -> DataFrame:

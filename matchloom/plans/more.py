@@ -320,3 +320,63 @@ SELECT seq, round(sum(CASE WHEN won = 1 THEN 10 * (odds - 1) ELSE -10 END) OVER
 def cumulative_profit(spark, sf_dir):
     b = _bets(spark, sf_dir).filter(F.col("ev") >= 0.2 + 1e-9).withColumns({"strategy": F.lit("flat"), "profit": F.when(F.col("won") == 1, 10 * (F.col("odds") - 1)).otherwise(-10.0)})
     return backtest.cumulative_profit(b).select("seq", F.round("cum_profit", 4).alias("cum_profit"))
+
+
+# ---- scalars as texts
+
+
+@query("""SELECT o_orderkey AS k, CAST(CASE o_orderkey % 6 WHEN 5 THEN NULL ELSE CAST(o_orderdate AS DATE) + 10957 END AS DATE) AS parsed FROM orders""")
+def scalar_dates(spark, sf_dir):
+    """Dates in the forms that sources write, spreadsheet numbers among them."""
+    k, d = F.col("o_orderkey"), F.date_add(F.col("o_orderdate").cast("date"), 10957)
+    serial = F.datediff(d, F.lit("1899-12-30").cast("date")).cast("string")
+    rep = F.format_string("datetime.datetime(%d, %d, %d, 0, 0)", F.year(d), F.month(d), F.dayofmonth(d))
+    text = F.when(k % 6 == 0, F.date_format(d, "yyyy-MM-dd")).when(k % 6 == 1, F.date_format(d, "yyyyMMdd")).when(k % 6 == 2, rep).when(k % 6 == 3, serial).when(k % 6 == 4, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 10:30:00"))).otherwise("soon")
+    return _read(spark, sf_dir, "orders").select(k.alias("k"), S.parse_date(text).alias("parsed"))
+
+
+_ENDED = "CASE o_orderkey % 4 WHEN 0 THEN ' RET' WHEN 1 THEN ' W/O' ELSE '' END"
+
+
+@query(f"""WITH x AS (SELECT o_orderkey AS k, CAST(o_orderkey % 8 AS INT) AS a, CAST(o_custkey % 8 AS INT) AS b, o_orderkey % 4 < 2 AS early FROM orders)
+SELECT k, '6-4 7-6(' || a || ') ' || a || '-' || b || CASE k % 4 WHEN 0 THEN ' RET' WHEN 1 THEN ' W/O' ELSE '' END AS expanded, CAST(CASE WHEN early AND a < 6 AND b < 6 THEN 2 ELSE 3 END AS INT) AS sets, 1 AS tiebreaks, early AS ended_early, CAST(CASE WHEN early AND a < 6 AND b < 6 THEN 3 ELSE 3 + a - b END AS INT) AS margin FROM x""")
+def scalar_scores(spark, sf_dir):
+    """Compact scores written out, and what is left of a match that ended early."""
+    k, a, b = F.col("o_orderkey"), (F.col("o_orderkey") % 8).cast("string"), (F.col("o_custkey") % 8).cast("string")
+    compact = F.concat(F.lit("64 76("), a, F.lit(") "), a, b, F.when(k % 4 == 0, " RET").when(k % 4 == 1, " W/O").otherwise(""))
+    full = S.full_score(S.expand_score(compact))
+    return _read(spark, sf_dir, "orders").select(k.alias("k"), S.expand_score(compact).alias("expanded"), full["sets"].alias("sets"), full["tiebreaks"].alias("tiebreaks"), full["ended_early"].alias("ended_early"), full["margin"].alias("margin"))
+
+
+@query(f"""WITH {_M}, x AS (SELECT seq, draw_size, CAST(seq % 7 + 1 AS INT) AS n FROM m), y AS (SELECT *, floor(draw_size / pow(2, n - 1)) AS l FROM x)
+SELECT seq, CASE WHEN n = 6 THEN 'F' WHEN n = 7 THEN NULL WHEN l > 64 THEN 'R128' WHEN l > 32 THEN 'R64' WHEN l > 16 THEN 'R32' WHEN l > 8 THEN 'R16' WHEN l > 4 THEN 'QF' WHEN l > 2 THEN 'SF' ELSE 'F' END AS round, round(3 + 2 * log2(draw_size), 6) AS days, CASE WHEN n = 3 THEN 907 WHEN n = 4 THEN 999 ELSE 3 END AS place FROM y""")
+def scalar_rounds(spark, sf_dir):
+    """Bookmakers' rounds by draw, days in which an event can be priced, and places of group and unknown rounds."""
+    n = (F.col("seq") % 7 + 1).cast("int")
+    words = F.when(n == 6, "The Final").when(n == 7, "odd").otherwise(F.concat(n.cast("string"), F.lit("th Round")))
+    code = F.when(n == 3, "907").when(n == 4, "XX").otherwise("BR")
+    return matches(spark, sf_dir).select("seq", S.odds_round(words, F.col("draw_size")).alias("round"), F.round(S.date_buffer_days(F.col("draw_size")), 6).alias("days"), S.round_order(code).cast("int").alias("place"))
+
+
+@query("""SELECT p_partkey AS k, '0339' AS tourney, '25' AS year, '002' AS round, 'AB' || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') || '_UNK00' AS players, 'ATP ' || upper(substr(p_brand, 1, 1)) || lower(substr(p_brand, 2)) || ' US' AS title, p_partkey % 3 = 0 AS empty FROM part""")
+def scalar_ids(spark, sf_dir):
+    """Match ids taken apart, titles, and what counts as empty."""
+    k = F.col("p_partkey")
+    mid = S.match_id(F.lit(339), F.lit("2024-12-25").cast("date"), F.lit("F"), F.lit("ann brook"), k, F.lit(""), F.lit(None).cast("int"))
+    parts = S.match_id_parts(mid)
+    word = F.when(k % 6 == 0, " N/A ").when(k % 3 == 0, "0").otherwise("x")
+    return _read(spark, sf_dir, "part").select(k.alias("k"), *[parts[c].alias(c) for c in ("tourney", "year", "round", "players")], S.title(F.concat(F.lit("atp  "), F.col("p_brand"), F.lit(" us "))).alias("title"), S.is_empty(word).alias("empty"))
+
+
+@query(f"""WITH {_M} SELECT seq AS player1_ace, CAST(p1_ace AS BIGINT) AS p1_ace, CAST(p2_ace AS BIGINT) AS p2_ace, player2_id AS player2_id FROM m""")
+def renamed_sides(spark, sf_dir):
+    """Winner and loser columns under the players' names."""
+    m = matches(spark, sf_dir).select(F.col("seq").alias("winner_ace"), F.col("p1_ace").alias("w_ace"), F.col("p2_ace").alias("l_ace"), F.col("player2_id").alias("loser_id"))
+    return tables.rename_sides(m)
+
+
+@query(f"""WITH {_M} SELECT seq, tourney_date FROM m WHERE seq % 2 = 0 UNION ALL SELECT seq, tourney_date FROM m WHERE seq % 2 = 1""")
+def merged_matches(spark, sf_dir):
+    """New matches merged into the stored ones; none twice."""
+    m = matches(spark, sf_dir).select("seq", "tourney_date")
+    return tables.upsert(m.filter("seq % 2 = 0"), m.union(m), "seq", replace=False)

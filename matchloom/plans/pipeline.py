@@ -72,19 +72,28 @@ def key(m: DataFrame) -> DataFrame:
     return m.withColumn("match_id", mid)
 
 
-def price(m: DataFrame, odds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(matches with prices where one was found, the cascade's outcome). odds: as odds.link() takes them, and price columns."""
+def _stored(store: Store, name: str, df: DataFrame) -> DataFrame:
+    store.write(name, df)
+    return store.read(name)
+
+
+def link(m: DataFrame, odds: DataFrame) -> DataFrame:
+    """The price cascade's outcome for keyed matches. odds: as odds.link() takes them, and price columns."""
     games = lambda a, b: F.concat(*[x for i in range(1, 6) for x in (F.col(f"p{a}_set{i}").cast("string"), F.col(f"p{b}_set{i}").cast("string"))])
     rows = m.withColumn("score_key", F.when(F.col("RESULT") == 1, games(1, 2)).otherwise(games(2, 1))).withColumn("result", F.col("RESULT"))
     for c in ("player1_rank", "player2_rank", "draw_size"):
         rows = rows if c in rows.columns else rows.withColumn(c, F.lit(None).cast("int"))
     need = ["match_id", "tourney_id", "tourney_date", "draw_size", "round", "player1_rank", "player2_rank", "player1_name", "player2_name", "result", "score_key"]
-    out = prices.link(rows.select(*need), odds)
+    return prices.link(rows.select(*need), odds)
+
+
+def priced(m: DataFrame, odds: DataFrame, outcome: DataFrame) -> DataFrame:
+    """Matches with prices, where one was found."""
     d = lambda c: F.col(c).cast("double") if c in odds.columns else F.lit(None).cast("double")
-    found = out.filter("status = 'enriched'").join(odds, "odds_id")
+    found = outcome.filter("status = 'enriched'").join(odds, "odds_id")
     cols = S.oriented_prices(F.col("orientation") == 1, (d("maxw"), d("maxl")), (d("psw"), d("psl")), (d("b365w"), d("b365l")))
     found = found.select("match_id", *[c.alias(k) for k, c in cols.items()], F.col("confidence").alias("enrichment_confidence"), F.col("method").alias("enrichment_method"))
-    return m.join(found, "match_id", "left"), out
+    return m.join(found, "match_id", "left")
 
 
 def run(raw: DataFrame, store: Store, *, odds: DataFrame | None = None, tournaments: DataFrame | None = None, players: DataFrame | None = None, replace: bool = False, log: str | None = None) -> Report:
@@ -94,11 +103,13 @@ def run(raw: DataFrame, store: Store, *, odds: DataFrame | None = None, tourname
     that comes before a rated one.
     """
     facts: dict = {"input": tables.require(raw, REQUIRED)["rows"]}
+    # each stage is written once: the next ones read it more than once
     m, review = identify(prepare(raw), tournaments=tournaments, players=players)
-    m = key(m)
+    m = _stored(store, "keyed", key(m))
     if odds is not None:
-        m, outcome = price(m, odds)
+        outcome = _stored(store, "prices", link(m, odds))
         facts["priced"] = outcome.filter("status = 'enriched'").count()
+        m = _stored(store, "priced", priced(m, odds, outcome))
     before = store.read("matches")
     fresh = m.dropDuplicates(["match_id"]) if before is None else tables.split_new(before, m.dropDuplicates(["match_id"]), "match_id")[1]
     store.write("fresh", fresh)  # written before anything that it is compared with changes

@@ -326,12 +326,15 @@ def test_pipeline_with_registers_and_prices(spark, tmp_path):
     players = p.select((F.col("i") + 100000).cast("long").alias("entity_id"), F.lit("0").alias("source"), F.col("i").cast("string").alias("source_id"), F.col("n").alias("variant"))
     m, review = pipeline.identify(pipeline.prepare(raw), players=players)
     assert m.filter("player1_id < 100000 or player2_id < 100000").count() == 0 and review.count() == 0 and m.count() == raw.count()
-    keyed = pipeline.key(m)
+    pipeline.key(m).write.parquet(f"{tmp_path}/keyed")
+    keyed = spark.read.parquet(f"{tmp_path}/keyed")
     won = F.col("RESULT") == 1
     games = lambda a, b: F.concat(*[x for i in range(1, 6) for x in (F.col(f"p{a}_set{i}").cast("string"), F.col(f"p{b}_set{i}").cast("string"))])
     words = F.when(F.col("round") == "F", "The Final").when(F.col("round") == "SF", "Semifinals").when(F.col("round") == "QF", "Quarterfinals").otherwise("x")
     o = keyed.select(F.xxhash64("match_id").alias("odds_id"), "tourney_id", F.col("tourney_date").alias("date"), words.alias("round"), F.lit(None).cast("int").alias("wrank"), F.lit(None).cast("int").alias("lrank"), F.when(won, F.col("player1_name")).otherwise(F.col("player2_name")).alias("winner"), F.when(won, F.col("player2_name")).otherwise(F.col("player1_name")).alias("loser"), F.when(won, games(1, 2)).otherwise(games(2, 1)).alias("score_key"), F.lit(1.5).alias("psw"), F.lit(2.5).alias("psl"))
-    out, outcome = pipeline.price(keyed, o)
+    pipeline.link(keyed, o).write.parquet(f"{tmp_path}/outcome")
+    outcome = spark.read.parquet(f"{tmp_path}/outcome")
+    out = pipeline.priced(keyed, o, outcome)
     assert out.count() == raw.count() and outcome.filter("status = 'enriched'").count() > 10
     for r in out.filter("odds_source is not null").collect():
         assert (r.p1_odds, r.p2_odds) == ((1.5, 2.5) if r.RESULT == 1 else (2.5, 1.5)) and r.odds_source == "pinnacle"
