@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, written
+from .common import free_shuffles, small_batches, written
 from .tokens import Words, arrow_bytes, mix, space_mask
 
 END, BEGIN = np.uint64(0x0E4D0E4D0E4D0E4D), np.uint64(0x0B3610B3610B3610)
@@ -50,22 +50,34 @@ MU = (50.0, 5.0)
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Counts in the fewest bytes; _unpack() needs their number."""
+    """Counts in the fewest bytes, compressed; _unpack() needs their number."""
     top = int(x.max()) if len(x) else 0
-    return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64).tobytes()
+    small = x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+    return bytes([small.itemsize]) + _squeezed(small)
 
 
 def _unpack(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, {0: np.uint8, 1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[len(raw) // n if n else 0]).astype(np.int64)
+    return _stretched(raw[1:], n, {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[raw[0]]).astype(np.int64)
+
+
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers byte by byte of the same weight, so that leading zeros stand together, compressed."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _stretched(raw: bytes, n: int, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(raw, decompressed_size=n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted hashes as differences, byte by byte of the same weight: the leading bytes are zeros, which shuffles compress."""
-    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Sorted hashes as differences, whose leading bytes are zeros; their number first."""
+    return len(keys).to_bytes(8, "little") + _squeezed(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpack_keys(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_stretched(raw[8:], int.from_bytes(raw[:8], "little"), np.uint64), dtype=np.uint64)
 
 
 def _distinct(s: np.ndarray) -> np.ndarray:
@@ -303,18 +315,19 @@ def _arcs(tokens: np.ndarray, first: np.ndarray, n_words: int, order: int) -> li
     return out
 
 
-def score(docs: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: str = "text", mu: tuple[float, ...] = MU, block_words: int = 1 << 21, shard_bytes: int = 24 << 20) -> DataFrame:
+def score(docs: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: str = "text", mu: tuple[float, ...] = MU, block_words: int = 1 << 20, shard_bytes: int = 24 << 20) -> DataFrame:
     """(doc_id, trained boolean, n_tokens, n_known, train_tokens long, base_score, score double) per row of docs.
 
     The order is one more than there are values of mu.
     """
     spark, order = docs.sparkSession, len(mu) + 1
-    small_batches(spark, 2000)
+    small_batches(spark, 128)  # a slice of n-grams is a row of up to 100 kB
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"), F.coalesce(train, F.lit(True)).alias("__train"))
     n_bytes, n_docs = rows.agg(F.coalesce(F.sum(F.octet_length("__text").cast("long")), F.lit(0)), F.count_if(F.col("__train"))).first()
     shards = max(1, -(-n_bytes // shard_bytes))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
     answers = written(_answers(_requests(rows, shards, block_words, order), tasks), "answers")
+    free_shuffles(spark)  # the requests' files, before the next shuffle writes its own
     n_tokens, n_types = answers.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))).first()
 
     def prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +339,7 @@ def score(docs: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: s
             singles = _distinct(np.sort(block.tokens))
             local = np.searchsorted(singles, block.tokens).astype(np.uint32)
             # kinds from 101 on sort after the answers'
-            blobs = [sink.getvalue().to_pybytes(), block.sizes.astype(np.int64).tobytes() + block.train.astype(np.uint8).tobytes(), _pack_keys(singles), np.ascontiguousarray(local.view(np.uint8).reshape(-1, 4).T).tobytes()]
+            blobs = [sink.getvalue().to_pybytes(), block.sizes.astype(np.int64).tobytes() + block.train.astype(np.uint8).tobytes(), _pack_keys(singles), _squeezed(local)]
             yield _batch([(block.name, 0, 101 + i, x) for i, x in enumerate(blobs)], "block string, shard int, kind int, data binary")
 
     asked = rows.mapInArrow(prepared, "block string, shard int, kind int, data binary")
@@ -338,8 +351,8 @@ def score(docs: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: s
         n = len(doc_ids)
         size, train_ = np.frombuffer(sizes[: 8 * n], np.int64), np.frombuffer(sizes[8 * n :], np.uint8).astype(bool)
         words = _unpack_keys(singles)
-        tokens = np.ascontiguousarray(np.frombuffer(local, np.uint8).reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64)
         first = np.concatenate([[0], np.cumsum(size)])
+        tokens = _stretched(local, int(first[-1]), np.uint32).astype(np.int64)
         arcs = _arcs(tokens, first, len(words), order)
         counts, hashes = [], np.concatenate([words, [BEGIN]])
         for m in range(1, order + 1):
