@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,11 +66,27 @@ def drop(*tables: DataFrame | None) -> None:
             _remove(df.sparkSession, path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Files of shuffles that no DataFrame refers to any more go when the driver's JVM collects garbage; this asks for it.
+
+    What Python has let go is told to the JVM by a thread that wakes every few seconds.
+    """
+    gc.collect()
+    time.sleep(3)
+    spark.sparkContext._jvm.System.gc()
+
+
+_batches: dict[str, str] = {}
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Long texts make 10,000-row Arrow batches large; a setting of the user's own stays."""
+    """Long texts make 10,000-row Arrow batches large; a setting of the user's own stays. Sets the session's number of rows
+    a batch, as Spark reads it when a plan runs, and never raises what an operator has set before."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, str(rows))
+    now = spark.conf.get(key, "10000")
+    if now in ("10000", _batches.get(spark.sparkContext.applicationId)):
+        _batches[spark.sparkContext.applicationId] = str(min(int(now), rows))
+        spark.conf.set(key, _batches[spark.sparkContext.applicationId])
 
 
 def let(value: Column, body) -> Column:
