@@ -131,7 +131,7 @@ def scalar_metadata(spark, sf_dir):
     return _read(spark, sf_dir, "orders").select(k.alias("k"), S.valid_dob(dob, F.lit("2024-01-01").cast("date")).alias("dob"), S.valid_hand(hand).alias("hand"), S.valid_height(height).alias("height"))
 
 
-@query(f"""WITH {_M} SELECT seq, round((tourney_date - DATE '1960-05-05') / 365.25, 1) AS age, CASE source WHEN 0 THEN 'main_dataset' WHEN 1 THEN 'infosys_api' WHEN 2 THEN 'tennis_api' ELSE 'unknown_3' END AS source, CAST(draw_size AS INT) AS draw, 'Mon 1' AS from_, CASE WHEN seq % 2 = 0 THEN 'Sun 7' END AS to_, 'ms' || seq AS match, greatest(a, b) AS best
+@query(f"""WITH {_M} SELECT seq, round((tourney_date - DATE '1960-05-05') / 365.25, 1) AS age, CASE source WHEN 0 THEN 'main_dataset' WHEN 1 THEN 'infosys_api' WHEN 2 THEN 'tennis_api' ELSE 'unknown_3' END AS source, CAST(draw_size AS INT) AS draw, 'Mon 1' AS from_, CASE WHEN seq % 2 = 0 THEN 'Sun 7' END AS to_, 'ms' || seq AS match, CAST(greatest(a, b) AS DOUBLE) AS best
 FROM (SELECT *, CAST(seq % 4 AS INT) AS source, CASE WHEN seq % 3 > 0 THEN 1.5 + seq % 10 END AS a, CASE WHEN seq % 5 > 0 THEN 2.0 + seq % 7 END AS b FROM m)""")
 def scalar_calendar(spark, sf_dir):
     """Ages, sources, draws, dates and match ids as a calendar writes them, and the better of two prices."""
