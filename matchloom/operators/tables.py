@@ -221,7 +221,7 @@ def fill_empty(df: DataFrame, other: DataFrame, key: str, columns: list[str], em
 
 
 def round_robin_codes(df: DataFrame) -> DataFrame:
-    """RR rows get '9' and their two-digit place by match number within tournament and date; descending if the final's number is over 5."""
+    """RR rows get '9' and their place, of two digits at least, by match number within tournament and date; descending if the final's number is over 5."""
     w = Window.partitionBy("tourney_id", "tourney_date")
     final = F.max(F.when(F.col("round") == "F", F.col("match_num"))).over(w)
     up = F.coalesce(final <= 5, F.lit(True))
