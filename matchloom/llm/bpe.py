@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, written
+from .common import drop, small_batches, written
 
 #: Characters of a chunk, and of what it shares with the next.
 CHUNK, OVERLAP = 1 << 14, 1 << 10
@@ -127,8 +127,9 @@ def encode(docs: DataFrame, *, ranks: str | None = None, pattern: str | None = N
                 yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, 1), b["key"].slice(i, 1), b["part"].slice(i, 1), b["parts"].slice(i, 1), _lists([np.array(c.encode_piece(piece), np.int32)])], names=group.names)
 
     short = rows.filter(F.length("text") <= chunk).mapInArrow(whole, encoded)
-    cut = written(rows.filter(F.length("text") > chunk).mapInArrow(chunks, chunked), "chunks")
-    cut = written(cut.repartition("key", "part").mapInArrow(boundaries, seen), "boundaries")
+    plain = written(rows.filter(F.length("text") > chunk).mapInArrow(chunks, chunked), "chunks")
+    cut = written(plain.repartition("key", "part").mapInArrow(boundaries, seen), "boundaries")
+    drop(plain)  # the boundaries' table holds the chunks too
     # A few numbers per chunk meet in a window by text. What follows the first overlap without a common boundary is one
     # run: those chunks' own boundaries are known to be right only once that run has been read.
     w, whole_text = Window.partitionBy("key").orderBy("part"), Window.partitionBy("key")
